@@ -59,13 +59,13 @@ def j3(t):
 @query("j3_interval_join", """
 select hadm_id, event_id, subject_id, charttime, hours_from_admit from user_labs""")
 def j3_interval(t):
-    return t.user_labs.select("hadm_id", "event_id", "subject_id", "charttime",
-                              "hours_from_admit")
+    return t.user_labs_plan.select("hadm_id", "event_id", "subject_id", "charttime",
+                                   "hours_from_admit")
 
 
 @query("j4_clean_events", "select * from labs")
 def j4(t):
-    return t.labs
+    return t.labs_plan
 
 
 @query("j5_match_to_interval", """

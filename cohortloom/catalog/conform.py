@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cohortloom.catalog.base import query
-from cohortloom.catalog.sql import NAMES_OF_LABEL, hours, label_core
-from cohortloom.catalog.tables import ITEM_NUMBERS, ORDER_RULES
+from cohortloom.catalog.sql import NAMES_OF_LABEL, hours, label_core, rounded
+from cohortloom.catalog.tables import ORDER_RULES
 from cohortloom.functions import columns as fn
 from cohortloom.operators import cleaning, features
 from cohortloom.plans.warehouse import NOT_LAB_COLUMNS
@@ -178,16 +178,21 @@ def c15(t):
     )
 
 
-@query("c15_lab_columns", "select click, error, purchase, view from user_mart")
+LABS = ("click", "error", "purchase", "view")
+
+
+@query("c15_lab_columns", f"""
+select {', '.join(f'{rounded(c, 6)} as {c}' for c in LABS)} from user_mart""")
 def c15_labs(t):
-    return features.numeric_features(t.user_mart, NOT_LAB_COLUMNS)
+    labs = features.numeric_features(t.user_mart, NOT_LAB_COLUMNS)
+    return labs.select(*[F.round(c, 6).alias(c) for c in labs.columns])
 
 
-@query("c16_column_or_null", """
-select hadm_id, click, null::double as troponin_t from user_wide""")
+@query("c16_column_or_null", f"""
+select hadm_id, {rounded('click', 6)} as click, null::double as troponin_t from user_wide""")
 def c16(t):
     wide = t.user_wide
     return wide.select(
-        "hadm_id", features.column_or_null(wide, "CLICK").alias(list(ITEM_NUMBERS)[0]),
+        "hadm_id", F.round(features.column_or_null(wide, "CLICK"), 6).alias("click"),
         features.column_or_null(wide, "troponin_t").alias("troponin_t"),
     )

@@ -51,8 +51,8 @@ def m3(t):
 
 def gate_sql(run: str, others: str, max_drop: float) -> str:
     return f"""
-select '{run}' as run_id, {rounded('current', 6)} as current_value, n as previous_runs,
-  {rounded('baseline', 6)} as baseline, {rounded('baseline - current', 6)} as drop,
+select '{run}' as run_id, {rounded('current', 9)} as current_value, n as previous_runs,
+  {rounded('baseline', 9)} as baseline, {rounded('baseline - current', 9)} as drop,
   case when n < 2 then 'short_history' when baseline - current > {max_drop} then 'regression'
     else 'within_tolerance' end as verdict,
   n < 2 or not (baseline - current > {max_drop}) as passed
@@ -80,7 +80,9 @@ def m4(t):
         monitors.regression_gate(history, "run-1"),
         monitors.regression_gate(history, "run-0", earlier_only=False),
     ]
-    return reduce(DataFrame.unionByName, gates)
+    return reduce(DataFrame.unionByName, gates).withColumns({
+        c: F.round(c, 9) for c in ("current_value", "baseline", "drop")
+    })
 
 
 POINT_METRICS = ("accuracy", "precision", "recall", "f1")

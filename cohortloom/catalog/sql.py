@@ -458,4 +458,8 @@ def with_definitions(statement: str) -> str:
     visit(statement)
     parts = [f"{name} as materialized ({body})" for name, body in DEFINITIONS.items()
              if name in needed]
-    return (f"with {', '.join(parts)} " if parts else "") + statement.strip()
+    if not parts:
+        return statement.strip()
+    own = statement.strip()
+    rest = f", {own.removeprefix('with ')}" if own.startswith("with ") else f" {own}"
+    return f"with {', '.join(parts)}{rest}"

@@ -137,12 +137,12 @@ select subject_id, hadm_id, label, gender, anchor_age, admittime, dischtime, los
 
 @query("a11_build_cohort", COHORT + "cohort")
 def a11(t):
-    return t.cohort
+    return t.cohort_plan
 
 
 @query("a11_build_cohort_of_users", COHORT + "user_cohort")
 def a11_users(t):
-    return t.user_cohort
+    return t.user_cohort_plan
 
 
 MART_SQL = ", ".join(
@@ -154,7 +154,7 @@ MART_SQL = ", ".join(
 @query("a12_build_feature_mart", f"""
 select subject_id, hadm_id, label, split, {MART_SQL} from user_mart""")
 def a12(t):
-    return t.user_mart.withColumns({
+    return t.user_mart_plan.withColumns({
         c: F.round(c, 6) for c in ("click", "error", "purchase", "view")
     })
 

@@ -22,7 +22,7 @@ from cohortloom.operators.metrics import evaluate
 from cohortloom.operators.quality import Suite
 from cohortloom.plans import warehouse
 from cohortloom.rules import RULES
-from cohortloom.sources.lake import with_lineage
+from cohortloom.sources.lake import materialise, with_lineage
 
 ORDER_RULES = replace(
     RULES, case_prefixes=("BRAND#25ECONOMY",), exclusion_prefixes=("BRAND#25",),
@@ -63,6 +63,10 @@ def next_in_key(df: DataFrame, by: str, at: str, ties: str, out: str) -> DataFra
 
 @dataclass
 class Tables:
+    """Raw and derived tables. The ``*_plan`` members are lazy; their namesakes
+    are written once to the shared folder, as the layer jobs do, so that what
+    builds on them starts from a table instead of repeating the plan."""
+
     spark: SparkSession
     folder: str
 
@@ -172,12 +176,20 @@ class Tables:
 
     @cached_property
     def labs(self) -> DataFrame:
+        return materialise(self.labs_plan, "labs")
+
+    @cached_property
+    def labs_plan(self) -> DataFrame:
         return cleaning.clean_events(
             self.raw_labs, self.admissions, self.dictionary, ORDER_RULES
         )
 
     @cached_property
     def cohort(self) -> DataFrame:
+        return materialise(self.cohort_plan, "cohort")
+
+    @cached_property
+    def cohort_plan(self) -> DataFrame:
         return cohort.build_cohort(
             self.patients, self.admissions, self.diagnoses, ORDER_RULES, mode="md5"
         )
@@ -207,6 +219,10 @@ class Tables:
 
     @cached_property
     def user_labs(self) -> DataFrame:
+        return materialise(self.user_labs_plan, "user-labs")
+
+    @cached_property
+    def user_labs_plan(self) -> DataFrame:
         """Draws inside the stays of their user."""
         inside = interval_join(
             self.user_draws, self.user_stays, by="subject_id", at="charttime",
@@ -270,6 +286,10 @@ class Tables:
 
     @cached_property
     def user_cohort(self) -> DataFrame:
+        return materialise(self.user_cohort_plan, "user-cohort")
+
+    @cached_property
+    def user_cohort_plan(self) -> DataFrame:
         return cohort.build_cohort(
             self.user_patients, self.user_admissions, self.user_diagnoses, ACTIVITY_RULES,
             mode="md5",
@@ -289,6 +309,10 @@ class Tables:
 
     @cached_property
     def user_mart(self) -> DataFrame:
+        return materialise(self.user_mart_plan, "user-mart")
+
+    @cached_property
+    def user_mart_plan(self) -> DataFrame:
         return features.build_feature_mart(self.user_cohort, self.user_wide, self.user_matches)
 
     @cached_property
@@ -384,6 +408,10 @@ class Tables:
 
     @cached_property
     def model_metrics(self) -> DataFrame:
+        return materialise(self.model_metrics_plan, "model-metrics")
+
+    @cached_property
+    def model_metrics_plan(self) -> DataFrame:
         """Metric history: five runs, two models, three splits."""
         groups = ["run", "model_name", "split"]
         names = ["accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc"]

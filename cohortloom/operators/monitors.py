@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.operators.ranking import exact_quantile
+from cohortloom.functions.columns import bounded_median
 
 
 def soft_failures(history: DataFrame, now: Column, days: int = 7, limit: int = 50) -> DataFrame:
@@ -86,19 +86,17 @@ def regression_gate(
     best = metrics.where((F.col("metric_name") == metric) & (F.col("split") == split)).groupBy(
         "run_id"
     ).agg(F.max("metric_value").alias("best"), F.max("trained_at").alias("trained_at"))
-    current = best.where(F.col("run_id") == run)
-    others = best.where(F.col("run_id") != run)
+    other = F.col("run_id") != run
     if earlier_only:
-        trained = current.agg(F.max("trained_at").alias("t")).scalar()
-        others = others.where(F.col("trained_at") < trained)
+        current = best.where(F.col("run_id") == run)
+        other = other & (F.col("trained_at") < current.agg(F.max("trained_at").alias("t")).scalar())
     summary = best.agg(
         F.count(F.lit(1)).alias("all_runs"),
         F.count_if(F.col("run_id") == run).alias("current_runs"),
         F.max(F.when(F.col("run_id") == run, F.col("best"))).alias("current_value"),
-    ).select(
-        "*",
-        others.agg(F.count(F.lit(1)).alias("n")).scalar().alias("previous_runs"),
-        exact_quantile(others, [], "best").select("quantile").scalar().alias("baseline"),
+        F.count_if(other).alias("previous_runs"),
+        # One value per run: the median's counters grow with runs, not with rows.
+        bounded_median(F.when(other, F.col("best"))).alias("baseline"),
     )
     drop = F.col("baseline") - F.col("current_value")
     verdict = (
@@ -109,11 +107,7 @@ def regression_gate(
         .otherwise(F.lit("within_tolerance"))
     )
     return summary.select(
-        run.alias("run_id"),
-        F.round("current_value", 6).alias("current_value"),
-        "previous_runs",
-        F.round("baseline", 6).alias("baseline"),
-        F.round(drop, 6).alias("drop"),
+        run.alias("run_id"), "current_value", "previous_runs", "baseline", drop.alias("drop"),
         verdict.alias("verdict"),
         (~verdict.isin("no_metric", "regression")).alias("passed"),
     )
