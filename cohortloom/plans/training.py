@@ -21,7 +21,7 @@ NOT_FEATURES = (
 SEED = 42
 
 
-def classifiers(train_rows: int, seed: int = SEED) -> dict:
+def classifiers(train_rows: int, seed: int = SEED, trees: int = 300, rounds: int = 100) -> dict:
     """Settings as close as MLlib allows to the usual single-machine defaults."""
     common = {"featuresCol": "features", "labelCol": "label"}
     return {
@@ -29,10 +29,10 @@ def classifiers(train_rows: int, seed: int = SEED) -> dict:
             maxIter=2000, regParam=1.0 / max(train_rows, 1), standardization=False, **common
         ),
         "random_forest": RandomForestClassifier(
-            numTrees=300, minInstancesPerNode=3, maxDepth=12, seed=seed, **common
+            numTrees=trees, minInstancesPerNode=3, maxDepth=12, seed=seed, **common
         ),
         "gradient_boosting": GBTClassifier(
-            maxIter=100, maxDepth=3, stepSize=0.1, seed=seed, **common
+            maxIter=rounds, maxDepth=3, stepSize=0.1, seed=seed, **common
         ),
     }
 
@@ -58,7 +58,7 @@ def prepare(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def train_classifiers(df: DataFrame, features: Sequence[str] | None = None, *,
-                      models: dict | None = None, seed: int = SEED) -> DataFrame:
+                      seed: int = SEED, trees: int = 300, rounds: int = 100) -> DataFrame:
     """Scored validation and test rows of every model: model, split, label, score.
 
     The stored split is used as it is. Fitting reads a cached training set; the
@@ -73,7 +73,7 @@ def train_classifiers(df: DataFrame, features: Sequence[str] | None = None, *,
     train = rows.where("split = 'train'").persist()
     held_out = rows.where("split in ('validation', 'test')")
     scored = None
-    for name, estimator in (models or classifiers(train_rows[0], seed)).items():
+    for name, estimator in classifiers(train_rows[0], seed, trees, rounds).items():
         fitted = estimator.fit(train)
         one = fitted.transform(held_out).select(
             F.lit(name).alias("model_name"), "split", "subject_id",
