@@ -147,14 +147,15 @@ def j11(t):
     )
 
 
-@query("j12_mart_left_joins", """
-select c.hadm_id, c.label, w.click, w.view, m.study_id as ecg_study_id,
+@query("j12_mart_left_joins", f"""
+select c.hadm_id, c.label, {rounded('w.click', 6)} as click, {rounded('w.view', 6)} as view, m.study_id as ecg_study_id,
   m.study_id is not null as has_ecg
 from user_cohort c left join user_wide w on w.hadm_id = c.hadm_id
 left join user_matches m on m.hadm_id = c.hadm_id""")
 def j12(t):
     return build_feature_mart(t.user_cohort, t.user_wide, t.user_matches).select(
-        "hadm_id", "label", "click", "view", "ecg_study_id", "has_ecg"
+        "hadm_id", "label", F.round("click", 6).alias("click"), F.round("view", 6).alias("view"),
+        "ecg_study_id", "has_ecg",
     )
 
 

@@ -43,6 +43,12 @@ def elapsed_hours(start: Column | str, end: Column | str, digits: int) -> Column
     return F.round((epoch_seconds(end) - epoch_seconds(start)) / F.lit(3600.0), digits)
 
 
+def round_numeric(value: Column, digits: int) -> Column:
+    """Half-up rounding of the decimal reading of a double, as a SQL warehouse
+    rounds a numeric: 3.4149999999999996 is read as 3.415 and gives 3.42."""
+    return F.round(value.cast("decimal(28,12)"), digits).cast("double")
+
+
 def time_slice(moment: Column | str, seconds: int, shift: int = 0) -> Column:
     """Number of the fixed-width time slice a moment falls in."""
     return F.floor((epoch_seconds(moment) + F.lit(shift)) / F.lit(seconds)).cast("long")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.operators.features import numeric_features
 from cohortloom.operators.prep import impute_median, standardise
+from cohortloom.sources.lake import materialise
 
 NOT_FEATURES = (
     "hadm_id", "subject_id", "label", "split", "etl_run_id", "_run_id", "_loaded_at", "_source",
@@ -61,15 +62,16 @@ def train_classifiers(df: DataFrame, features: Sequence[str] | None = None, *,
                       seed: int = SEED, trees: int = 300, rounds: int = 100) -> DataFrame:
     """Scored validation and test rows of every model: model, split, label, score.
 
-    The stored split is used as it is. Fitting reads a cached training set; the
-    cache may spill and is rebuilt from its plan when an executor is lost.
+    The stored split is used as it is. The prepared rows are written once; every
+    model fits on a cache over that table, which is rebuilt from it when an
+    executor is lost.
     """
     names = list(features or feature_names(df))
     train_rows = df.where("split = 'train'").agg(
         F.count(F.lit(1)), *[F.count(F.col(f"`{c}`")) for c in names]
     ).first()
     usable = [c for c, n in zip(names, train_rows[1:], strict=True) if n > 0]
-    rows = prepare(df, usable)
+    rows = materialise(prepare(df, usable), "training-rows")
     train = rows.where("split = 'train'").persist()
     held_out = rows.where("split in ('validation', 'test')")
     scored = None

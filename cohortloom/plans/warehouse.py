@@ -16,6 +16,7 @@ from cohortloom.functions.columns import (
     bounded_median,
     conditional_count,
     conditional_max,
+    round_numeric,
     sample_sd,
     surrogate_key,
 )
@@ -87,7 +88,7 @@ def stg_feature_mart(mart: DataFrame) -> DataFrame:
 def stg_feature_coverage(coverage: DataFrame) -> DataFrame:
     return coverage.select(
         "column_name", "column_kind", "non_null_rows", "total_rows", "null_rate",
-        F.round(1 - F.col("null_rate"), 4).alias("coverage_rate"),
+        round_numeric(1 - F.col("null_rate"), 4).alias("coverage_rate"),
         *renamed(coverage, {"_run_id": "etl_run_id", "_loaded_at": "loaded_at"}),
     )
 
@@ -140,7 +141,7 @@ def fct_admission(cohort: DataFrame, labs: DataFrame) -> DataFrame:
     return cohort.join(activity, "hadm_id", "left").select(
         "hadm_id", "subject_id", "label", "cohort_group", "split", "admitted_at",
         "discharged_at", "length_of_stay_hours",
-        F.round(F.col("length_of_stay_hours") / 24.0, 2).alias("length_of_stay_days"),
+        round_numeric(F.col("length_of_stay_hours") / 24.0, 2).alias("length_of_stay_days"),
         "admit_year", "admission_type", "died_in_hospital",
         *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counters],
         "first_lab_hours_from_admit",
@@ -178,11 +179,11 @@ def cohort_summary(cohort: DataFrame) -> DataFrame:
     died = F.coalesce(F.col("died_in_hospital").cast("int"), F.lit(0))
     return cohort.groupBy("cohort_group", "split").agg(
         F.count(F.lit(1)).alias("patients"),
-        F.round(F.avg("age_years"), 1).alias("mean_age"),
+        round_numeric(F.avg("age_years"), 1).alias("mean_age"),
         bounded_median("age_years").alias("median_age"),
-        F.round(F.avg("is_male"), 3).alias("male_share"),
-        F.round(F.avg("length_of_stay_hours"), 1).alias("mean_los_hours"),
-        F.round(F.avg(died), 4).alias("in_hospital_mortality"),
+        round_numeric(F.avg("is_male"), 3).alias("male_share"),
+        round_numeric(F.avg("length_of_stay_hours"), 1).alias("mean_los_hours"),
+        round_numeric(F.avg(died), 4).alias("in_hospital_mortality"),
         F.min("admitted_at").alias("earliest_admission"),
         F.max("admitted_at").alias("latest_admission"),
     ).orderBy("cohort_group", "split")
@@ -208,7 +209,7 @@ def lab_profile(panel: DataFrame, rules: StudyRules = RULES) -> DataFrame:
     sd_case, sd_control = (F.coalesce(f"{s}_sd", F.lit(0.0)) for s in sides.values())
     gap = F.col("angina_mean") - F.col("control_mean")
     pooled = F.sqrt((F.pow(sd_case, F.lit(2)) + F.pow(sd_control, F.lit(2))) / 2.0)
-    effect = F.when(sd_case + sd_control != 0, F.round(F.try_divide(gap, pooled), 3))
+    effect = F.when(sd_case + sd_control != 0, round_numeric(F.try_divide(gap, pooled), 3))
     return wide.withColumns({"mean_difference": gap, "cohens_d": effect}).orderBy(
         F.abs(F.coalesce("cohens_d", F.lit(0.0))).desc(), *lab
     )
@@ -233,7 +234,7 @@ def dq_history(staged: DataFrame) -> DataFrame:
         F.max("row_count").alias("row_count"),
     )
     return per_run.withColumns({
-        "pass_rate": F.round(F.try_divide("checks_passed", "checks_run"), 4),
+        "pass_rate": round_numeric(F.try_divide("checks_passed", "checks_run"), 4),
         "run_healthy": F.col("blocking_failures") == 0,
     }).orderBy(F.col("checked_at").desc(), "layer", "table_name", "run_id")
 
