@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from cohortloom.functions.columns import ORDINAL_SPAN, hash_ordinal
 
-DEFAULT_BINS = 4096
+DEFAULT_BINS = 65_536
 BINS_PER_OCTAVE = 1024
 
 
