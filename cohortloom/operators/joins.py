@@ -110,6 +110,25 @@ def sliced_join(
     return placed.join(copies, [by, "_slice"]).drop("_slice")
 
 
+def within_reach(
+    points: DataFrame, spans: DataFrame, by: str, at: str, start: str, end: str, seconds: int
+) -> DataFrame:
+    """Spans with the slices they touch, clipped to where their subject has points.
+
+    Clipping bounds the copies of open or absurdly long spans by the subject's
+    own timeline and drops spans of subjects without points. The bounds are one
+    row per subject, combined on the map side.
+    """
+    moment = time_slice(at, seconds)
+    reach = points.groupBy(by).agg(F.min(moment).alias("_low"), F.max(moment).alias("_high"))
+    return (
+        spans.join(reach, by)
+        .withColumn("_low", F.greatest("_low", time_slice(start, seconds)))
+        .withColumn("_high", F.least("_high", time_slice(end, seconds)))
+        .where(F.col(start).isNotNull() & (F.col("_low") <= F.col("_high")))
+    )
+
+
 def interval_join(
     points: DataFrame,
     spans: DataFrame,
@@ -120,15 +139,11 @@ def interval_join(
     end: str,
     seconds: int = DAY,
 ) -> DataFrame:
-    """Every (point, span) pair of a subject with ``start <= at <= end``.
-
-    An open span reaches to the slice of the last point there is.
-    """
-    last = points.agg(F.max(time_slice(at, seconds))).scalar()
-    first = time_slice(start, seconds)
-    upto = F.greatest(first, F.coalesce(time_slice(end, seconds), last, first))
-    pairs = sliced_join(points, spans, by, at, first, upto, seconds)
-    return pairs.where(inside(at, start, end))
+    """Every (point, span) pair of a subject with ``start <= at <= end``; a span
+    without an end is open."""
+    reached = within_reach(points, spans, by, at, start, end, seconds)
+    pairs = sliced_join(points, reached, by, at, F.col("_low"), F.col("_high"), seconds)
+    return pairs.where(inside(at, start, end)).drop("_low", "_high")
 
 
 def match_to_interval(
@@ -188,10 +203,11 @@ def match_first_strict(
         cohort = cohort.drop(start, end).join(times, [key, stay_id], "left")
     if at not in records.columns:
         return cohort.join(records, key)
-    closed = cohort.where(F.col(start).isNotNull() & (F.col(end) >= F.col(start)))
-    pairs = sliced_join(
-        records.where(F.col(at).isNotNull()), closed, key, at,
-        time_slice(start, DAY), time_slice(end, DAY),
+    timed = records.where(F.col(at).isNotNull())
+    closed = cohort.where(F.col(end) >= F.col(start))
+    reached = within_reach(timed, closed, key, at, start, end, DAY)
+    pairs = sliced_join(timed, reached, key, at, F.col("_low"), F.col("_high")).drop(
+        "_low", "_high"
     )
     during = pairs.where((F.col(at) >= F.col(start)) & (F.col(at) <= F.col(end)))
     return keep_first(during, [stay_id], [F.col(at).asc()])

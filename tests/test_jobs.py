@@ -164,6 +164,15 @@ def test_histories_and_runs_are_idempotent(spark, tmp_path):
         ("r1", 1), ("r2", 9)]
 
 
+def test_partitioned_writes_are_rebalanced(spark, tmp_path):
+    df = spark.range(0, 4000, 1, 40).withColumn("p", (F.col("id") % 4).cast("int"))
+    path = tmp_path / "t"
+    assert lake.write_parquet(df, str(path), partition_by=["p"]) == 4000
+    files = list(path.glob("p=*/*.parquet"))
+    assert 4 <= len(files) <= 8
+    assert spark.read.parquet(str(path)).count() == 4000
+
+
 def test_headers_and_manifest(spark, tmp_path):
     raw = spark.createDataFrame([(1, 2, "a/b.dat", "t")], ["Subject ID", "study", "Path", "start"])
     found = manifest.harmonise_columns(raw)
