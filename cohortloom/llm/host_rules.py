@@ -106,11 +106,11 @@ def host_verdicts(judged: DataFrame, rules: HostRules, host: str = "source") ->
         F.col("_squares") - docs_n * p * p - (hosts_n - 1) * within,
         docs_n - F.try_divide(F.col("_sizes"), docs_n))
     weight = F.when(between > 0, F.greatest(within / between - 1, F.lit(rules.least_weight)))
-    prior = sums.select(p, weight.alias("_weight"))
-    rate = F.when(F.col("_weight").isNull(), F.col("_p")).otherwise(
-        (F.col("n_failed") + F.col("_weight") * F.col("_p")) / (F.col("n_docs") + F.col("_weight")))
-    # One row of sums joins every host; Catalyst broadcasts that row.
-    return hosts.join(F.broadcast(prior)).select(
+    prior = sums.select(F.struct(p, weight.alias("_weight"))).scalar()
+    p, weight = F.col("_prior._p"), F.col("_prior._weight")
+    rate = F.when(weight.isNull(), p).otherwise(
+        (F.col("n_failed") + weight * p) / (F.col("n_docs") + weight))
+    return hosts.withColumn("_prior", prior).select(
         host, "n_docs", "n_failed", rate.alias("host_rate"),
         (rate <= rules.max_rate).alias("host_kept"))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cohortloom.llm.common import digest_bin
 from cohortloom.llm.decontaminate import find_leaks, leak_report
 from cohortloom.llm.host_rules import judge_hosts
+from cohortloom.llm.jaccard_join import link_documents
 from cohortloom.llm.mixture import systematic_copies, word_count
 from cohortloom.llm.reshard import reshard
 
@@ -40,6 +41,11 @@ def op3_host_rules(spark: SparkSession, folder: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return link_documents(table(spark, folder, "documents")).select(
+        "doc_id", "n_shingles", "component_id")
+
+
 def op8_systematic_mix(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "documents").select(
         "doc_id", "source", word_count("text").alias("size"))
@@ -56,6 +62,7 @@ def op10_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_reshard": op1_reshard, "op3_host_rules": op3_host_rules,
+    "op4_jaccard_join": op4_jaccard_join,
     "op8_systematic_mix": op8_systematic_mix, "op10_benchmark_leaks": op10_benchmark_leaks,
 }
 ORACLES: dict[str, str] = {}
