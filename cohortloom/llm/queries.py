@@ -13,6 +13,9 @@ from cohortloom.llm.host_rules import judge_hosts
 from cohortloom.llm.jaccard_join import link_documents
 from cohortloom.llm.mixture import systematic_copies, word_count
 from cohortloom.llm.reshard import reshard
+from cohortloom.llm.token_counts import count_tokens
+from cohortloom.llm.token_store import read_index, write_store
+from cohortloom.session import fresh_path
 
 OLD_SHARDS, NEW_SHARDS = 6, 8
 
@@ -34,6 +37,19 @@ def op1_reshard(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_token_store(spark: SparkSession, folder: str) -> DataFrame:
+    """Write the store of all documents, then read its files."""
+    store = fresh_path(spark, "token-store")
+    write_store(table(spark, folder, "documents"), store, vocabulary("byte_bpe_50k.json"))
+    return read_index(spark, store)
+
+
 def op3_host_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = judge_hosts(table(spark, folder, "documents"))
     return judged.select(
@@ -54,6 +70,10 @@ def op8_systematic_mix(spark: SparkSession, folder: str) -> DataFrame:
                         (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return count_tokens(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 def op10_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
     found = find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return leak_report(found).select(
@@ -61,8 +81,9 @@ def op10_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_reshard": op1_reshard, "op3_host_rules": op3_host_rules,
+    "op1_reshard": op1_reshard, "op2_token_store": op2_token_store,
+    "op3_host_rules": op3_host_rules,
     "op4_jaccard_join": op4_jaccard_join,
-    "op8_systematic_mix": op8_systematic_mix, "op10_benchmark_leaks": op10_benchmark_leaks,
+    "op8_systematic_mix": op8_systematic_mix, "op9_token_counts": op9_token_counts, "op10_benchmark_leaks": op10_benchmark_leaks,
 }
 ORACLES: dict[str, str] = {}
