@@ -11,7 +11,9 @@ from cohortloom.llm.common import digest_bin
 from cohortloom.llm.decontaminate import find_leaks, leak_report
 from cohortloom.llm.host_rules import judge_hosts
 from cohortloom.llm.jaccard_join import link_documents
+from cohortloom.llm.license_rules import scan_licenses
 from cohortloom.llm.mixture import systematic_copies, word_count
+from cohortloom.llm.passages import remove_repeats
 from cohortloom.llm.reshard import reshard
 from cohortloom.llm.token_counts import count_tokens
 from cohortloom.llm.token_store import read_index, write_store
@@ -62,6 +64,14 @@ def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id")
 
 
+def op5_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(table(spark, folder, "documents"))
+
+
+def op6_license_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(table(spark, folder, "documents"))
+
+
 def op8_systematic_mix(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "documents").select(
         "doc_id", "source", word_count("text").alias("size"))
@@ -84,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_reshard": op1_reshard, "op2_token_store": op2_token_store,
     "op3_host_rules": op3_host_rules,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_repeated_passages": op5_repeated_passages, "op6_license_rules": op6_license_rules,
     "op8_systematic_mix": op8_systematic_mix, "op9_token_counts": op9_token_counts, "op10_benchmark_leaks": op10_benchmark_leaks,
 }
 ORACLES: dict[str, str] = {}
