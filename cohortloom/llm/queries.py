@@ -17,6 +17,7 @@ from cohortloom.llm.passages import remove_repeats
 from cohortloom.llm.reshard import reshard
 from cohortloom.llm.token_counts import count_tokens
 from cohortloom.llm.token_store import read_index, write_store
+from cohortloom.llm.window_lm import score_documents
 from cohortloom.session import fresh_path
 
 OLD_SHARDS, NEW_SHARDS = 6, 8
@@ -72,6 +73,10 @@ def op6_license_rules(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licenses(table(spark, folder, "documents"))
 
 
+def op7_window_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return score_documents(table(spark, folder, "documents"))
+
+
 def op8_systematic_mix(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "documents").select(
         "doc_id", "source", word_count("text").alias("size"))
@@ -95,6 +100,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_host_rules": op3_host_rules,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_repeated_passages": op5_repeated_passages, "op6_license_rules": op6_license_rules,
-    "op8_systematic_mix": op8_systematic_mix, "op9_token_counts": op9_token_counts, "op10_benchmark_leaks": op10_benchmark_leaks,
+    "op7_window_scores": op7_window_scores, "op8_systematic_mix": op8_systematic_mix, "op9_token_counts": op9_token_counts, "op10_benchmark_leaks": op10_benchmark_leaks,
 }
 ORACLES: dict[str, str] = {}
