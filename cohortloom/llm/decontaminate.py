@@ -199,24 +199,22 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, *, text: str = "text"
     """
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove must be 'documents' or 'spans', not {remove!r}")
-    found = find_leaks(docs, benchmark, text=text, size=size, most_windows=most_windows,
-                       carry=tuple(docs.columns))
+    rows = docs.select(F.struct(*(F.col(c) for c in docs.columns)).alias("_row"),
+                       F.col(text).alias("_body"))
+    found = find_leaks(rows, benchmark, text="_body", size=size, most_windows=most_windows,
+                       carry=("_row", "_body"))
     if remove == "documents":
-        return found.where(hit_words("spans") <= max_hit_share * F.col("n_words")).select(
-            *docs.columns)
-    cut = found.select(*(F.col(c) for c in docs.columns), "spans")
-    order = docs.columns
+        return found.where(hit_words("spans") <= max_hit_share * F.col("n_words")).select("_row.*")
 
     def run(batches):
         for batch in batches:
-            at = batch.schema.get_field_index(text)
-            texts = batch.column(at).cast(pa.binary()).to_pylist()
-            spans = batch.column(batch.schema.get_field_index("spans")).to_pylist()
+            texts = batch.column(1).cast(pa.binary()).to_pylist()
             new = [t if t is None else without_words(t, s).decode()
-                   for t, s in zip(texts, spans, strict=True)]
-            columns = [batch.column(i) for i in range(len(order))]
-            columns[at] = pa.array(new, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=order)
-
-    return cut.mapInArrow(run, T.StructType([docs.schema[c] for c in order]))
-
+                   for t, s in zip(texts, batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(new, pa.string())],
+                                             names=["_row", "_cut"])
+
+    cut = found.select("_row", "_body", "spans")
+    schema = T.StructType([cut.schema["_row"], T.StructField("_cut", T.StringType())])
+    return cut.mapInArrow(run, schema).select(*(
+        F.col("_cut" if c == text else f"_row.`{c}`").alias(c) for c in docs.columns))

@@ -211,7 +211,8 @@ def read_documents(spark: SparkSession, folder: str, low, high, *, ident: str =
                    ) -> DataFrame:
     """(id, ids) of the documents from ``low`` to ``high``; only blocks in that range are read."""
     blocks = spark.read.parquet(f"{folder}/blocks").where(
-        (F.col("last") >= low) & (F.col("first") <= high))
+        # Null ids stand first, so a block that begins with one may hold any up to its last.
+        (F.col("last") >= low) & (F.col("first").isNull() | (F.col("first") <= high)))
     rows = decoded(blocks, stored_dictionary(spark, folder),
                    [T.StructField("ids", T.ArrayType(T.LongType()))],
                    lambda ids: [pa.array([x.astype(np.int64) for x in ids],

@@ -91,7 +91,7 @@ class Vocabulary:
         # Code 0 is the edge of a text.
         self.codes = 1 + np.arange(model.buckets) % (model.codes - 1)
         self.codes[order[:model.codes // 2]] = 1 + np.arange(model.codes // 2)
-        self.bias = np.log(whole / whole.sum()).astype(np.float32)
+        self.bias = np.log((whole + 1e-6) / whole.sum()).astype(np.float32)
 
 
 def first_weights(vocabulary: Vocabulary, model: WindowModel) -> list[np.ndarray]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom.llm.common import digest_bin
@@ -20,10 +20,14 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 OLD_SHARDS, NEW_SHARDS = 6, 8
 
 
+def whole_row(docs: DataFrame) -> Column:
+    return F.struct(*(F.col(c) for c in docs.columns)).alias("_row")
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents that fail the base rules or stand on a rejected host."""
-    judged = judge_hosts(docs, carry=tuple(docs.columns))
-    return judged.where("kept").select(*docs.columns)
+    rows = docs.select(whole_row(docs), "source", "text")
+    return judge_hosts(rows, carry=("_row",)).where("kept").select("_row.*")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +48,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The columns of documents, and shard and slot, from six uneven shards into eight equal ones."""
     rows = docs.select(
-        F.struct(*(F.col(c) for c in docs.columns)).alias("_row"), "doc_id",
+        whole_row(docs), "doc_id",
         (F.octet_length(F.coalesce("text", F.lit(""))) + 1).cast("long").alias("_size"),
         F.xxhash64(*(F.col(c) for c in docs.columns)).alias("_tie"),
         digest_bin("source", OLD_SHARDS).alias("_old"))
