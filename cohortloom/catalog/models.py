@@ -227,9 +227,9 @@ def p3(t):
 
 @query("p4_train_classifiers")
 def p4(t):
-    """Scored held-out rows of three classifiers; ensembles kept small here."""
+    """Scored held-out rows of three classifiers, with the operator's own settings."""
     contract = warehouse.training_features(t.published(t.user_mart, "feature_mart"))
-    return training.train_classifiers(contract, trees=40, rounds=10)
+    return training.train_classifiers(contract)
 
 
 @query("p5_best_model", """

@@ -15,8 +15,7 @@ ADMISSION_FILE_COLUMNS = (
     "subject_id", "hadm_id", "admittime", "dischtime", "admission_type", "hospital_expire_flag",
 )
 FIRST_ADMISSIONS = f"""
-select {', '.join(c + '::int as ' + c if c.endswith('id') else c
-                  for c in ADMISSION_FILE_COLUMNS)} from first_admissions"""
+select {', '.join(ADMISSION_FILE_COLUMNS)} from first_admissions"""
 
 
 def as_raw_file(df, table: str):
@@ -58,7 +57,7 @@ def s1(t):
 
 
 @query("s2_read_raw", """
-select itemid::int as itemid, trim(label) as label, fluid, category from (
+select itemid, trim(label) as label, fluid, category from (
   select p_partkey as itemid, '  ' || p_name || ' ' as label, p_brand as fluid,
     p_type as category from part)""")
 def s2(t):
@@ -82,8 +81,10 @@ def s3(t):
 @query("s4_read_layer", """
 select o_orderkey, o_totalprice from orders where o_orderstatus = 'F' and o_totalprice > 100000""")
 def s4(t):
-    """A pruned, filtered scan: two columns and both predicates reach Parquet."""
-    orders = t.load("orders")
+    """A pruned, filtered scan of a layer: two columns and both predicates reach Parquet."""
+    home = lake.Lake(fresh_path(t.spark, "lake"))
+    lake.write_layer(t.load("orders"), home, "bronze", "orders")
+    orders = lake.read_layer(t.spark, home, "bronze", "orders")
     return orders.where("o_orderstatus = 'F' and o_totalprice > 100000").select(
         "o_orderkey", "o_totalprice"
     )
@@ -116,14 +117,14 @@ def s7(t):
 
 
 @query("s9_append_history", """
-select r.* from dq_results r
-where not exists (select 1 from dq_results h where h.run_id = r.run_id and h.layer = r.layer
-  and h.table_name = r.table_name and h.check_name = r.check_name and h.run_id <> 'run-4')""")
+select * from (select distinct on (run_id, layer, table_name, check_name) * from dq_results)""")
 def s9(t):
-    history = t.dq_results.where("run_id <> 'run-4'")
-    return lake.new_history_rows(
-        t.dq_results, history, ["run_id", "layer", "table_name", "check_name"]
-    )
+    """The older runs, then all, then all again: every result stands there once."""
+    path, keys = fresh_path(t.spark, "history"), ["run_id", "layer", "table_name", "check_name"]
+    ready = lake.materialise(t.dq_results, "history-source")
+    for results in (ready.where("run_id <> 'run-4'"), ready, ready):
+        lake.append_history(results, path, keys)
+    return t.spark.read.parquet(path)
 
 
 @query("s10_replace_run", """
@@ -134,21 +135,21 @@ group by run_id""")
 def s10(t):
     path = fresh_path(t.spark, "metrics")
     ready = lake.materialise(t.model_metrics, "metrics-source")
-    lake.replace_run(ready, path)
+    for row in ready.select("run_id").distinct().collect():
+        lake.replace_run(ready, path, row.run_id)
     redone = ready.where("run_id = 'run-3'").withColumn("metric_name", F.lit("again"))
-    lake.replace_run(redone, path)
-    return t.spark.read.parquet(path).groupBy("run_id").agg(
+    lake.replace_run(redone, path, "run-3")
+    return lake.read_runs(t.spark, path, ready.schema).groupBy("run_id").agg(
         F.count(F.lit(1)).alias("n_rows"), F.max("metric_name").alias("last_metric")
     )
 
 
-@query("s11_export_flat", """
-select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders""")
+@query("s11_export_flat", "select * from orders")
 def s11_flat(t):
     path = fresh_path(t.spark, "export")
-    orders = t.load("orders").drop("o_orderdate")
+    orders = t.load("orders")
     lake.export_flat(orders, path, "csv")
-    return t.spark.read.schema(orders.schema).csv(path, header=True)
+    return lake.read_export(t.spark, path, orders.schema)
 
 
 @query("s11_export_summary", f"""
@@ -165,7 +166,7 @@ from (select distinct path, replace(replace(path, '.hea', ''), '.dat', '') as st
   from user_points where path is not null),
   (values ('.hea'), ('.dat')) as e(ending)""")
 def s12(t):
-    return manifest.file_manifest(t.user_points).distinct()
+    return manifest.file_manifest(t.user_points)
 
 
 @query("s13_harmonise_columns", """

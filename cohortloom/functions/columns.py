@@ -46,7 +46,9 @@ def elapsed_hours(start: Column | str, end: Column | str, digits: int) -> Column
 def round_numeric(value: Column, digits: int) -> Column:
     """Half-up rounding of the decimal reading of a double, as a SQL warehouse
     rounds a numeric: 3.4149999999999996 is read as 3.415 and gives 3.42."""
-    return F.round(value.cast("decimal(28,12)"), digits).cast("double")
+    read = F.round(value.try_cast("decimal(28,12)"), digits).cast("double")
+    # A double too large for that has no digits behind the point.
+    return F.coalesce(read, F.round(value, digits))
 
 
 def time_slice(moment: Column | str, seconds: int, shift: int = 0) -> Column:

@@ -38,15 +38,16 @@ def normalise_signal(
     """Channels in a fixed order, cleaned of NaN/Inf and z-scored one by one.
 
     Names match whatever their case or padding; a channel that is absent is
-    all zeros, as long as the channels that are there.
+    all zeros, as long as the longest channel that is there.
     """
     known = F.transform(F.col(names), lambda n: F.upper(F.trim(n)))
-    length = F.size(F.element_at(F.col(signal), 1))
+    length = F.greatest(F.coalesce(F.array_max(F.transform(
+        F.col(signal), lambda c: F.coalesce(F.size(c), F.lit(0)))), F.lit(0)), F.lit(0))
     wanted = F.array(*[F.lit(lead.upper()) for lead in leads])
 
     def pick(lead: Column) -> Column:
         found = F.get(F.col(signal), (F.array_position(known, lead) - 1).cast("int"))
-        silent = F.transform(F.sequence(F.lit(1), length), lambda _: F.lit(0.0))
+        silent = F.array_repeat(F.lit(0.0), length)
         return F.coalesce(F.transform(found, _finite), silent)
 
     ordered = df.withColumn("_ordered", F.transform(wanted, pick))
@@ -68,7 +69,11 @@ def fourier_resample(samples: np.ndarray, length: int) -> np.ndarray:
 
 
 def resample_signal(df: DataFrame, signal: str, length: int) -> DataFrame:
-    """Every channel brought to ``length`` samples, Arrow batch by Arrow batch."""
+    """Every channel brought to ``length`` samples.
+
+    Channels of one length in an Arrow batch go through one transform together. A
+    null signal or channel stays null; an empty channel becomes silence.
+    """
     kind = T.ArrayType(T.ArrayType(T.FloatType()))
     schema = T.StructType(
         [T.StructField(f.name, kind) if f.name == signal else f for f in df.schema.fields]
@@ -76,14 +81,17 @@ def resample_signal(df: DataFrame, signal: str, length: int) -> DataFrame:
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            resized = [
-                None if rows is None else [
-                    list(fourier_resample(np.asarray(channel, dtype="float64"), length)
-                         .astype("float32"))
-                    for channel in rows
-                ]
-                for rows in frame[signal]
-            ]
+            resized = [None if rows is None else [None] * len(rows) for rows in frame[signal]]
+            by_length: dict[int, list] = {}
+            for i, rows in enumerate(frame[signal]):
+                for k, channel in enumerate(() if rows is None else rows):
+                    if channel is not None:
+                        by_length.setdefault(len(channel), []).append((i, k, channel))
+            for present, own in by_length.items():
+                stack = np.array([c for _, _, c in own], "float64").reshape(len(own), present)
+                done = fourier_resample(stack, length) if present else np.zeros((len(own), length))
+                for (i, k, _), samples in zip(own, done.astype("float32"), strict=True):
+                    resized[i][k] = samples
             yield frame.assign(**{signal: resized})
 
     return df.mapInPandas(batches, schema)

@@ -22,6 +22,7 @@ from cohortloom.operators.features import (
     coverage_report,
     feature_columns,
     lab_features,
+    mart_columns,
     pivot_features,
 )
 from cohortloom.operators.quality import QualityError, Suite
@@ -32,6 +33,7 @@ from cohortloom.sources.lake import (
     append_history,
     materialise,
     path_missing,
+    read_history,
     read_layer,
     read_optional,
     read_raw,
@@ -39,7 +41,13 @@ from cohortloom.sources.lake import (
     write_layer,
 )
 from cohortloom.sources.schemas import TABLES
-from cohortloom.sources.warehouse_sink import PUBLISHED, Warehouse, publish_jdbc, publish_tables
+from cohortloom.sources.warehouse_sink import (
+    PUBLISHED,
+    Warehouse,
+    publish_history,
+    publish_jdbc,
+    publish_tables,
+)
 
 log = logging.getLogger("cohortloom.jobs")
 
@@ -127,7 +135,7 @@ def build_gold(spark: SparkSession, lake: Lake, rules: StudyRules = RULES, *,
     )
     events = only_in(silver("labevents"), cohort.select("hadm_id"), "hadm_id")
     long = publish(lab_features(events), "lab_features")
-    columns = feature_columns(long, min_coverage, reserved=[*cohort.columns, "age", "gender_male"])
+    columns = feature_columns(long, min_coverage, reserved=mart_columns(cohort))
     points = read_optional(spark, lake, "silver", "ecg_records")
     mart = publish(
         build_feature_mart(cohort, pivot_features(long, columns), points), "feature_mart",
@@ -144,7 +152,17 @@ def build_gold(spark: SparkSession, lake: Lake, rules: StudyRules = RULES, *,
 
 def publish_warehouse(spark: SparkSession, lake: Lake, warehouse: Warehouse, *,
                       tables: Iterable[str] = PUBLISHED, mode: str = "overwrite",
-                      write=publish_jdbc) -> list[str]:
-    """Gold tables to the warehouse; the write step transforms nothing."""
+                      published: DataFrame | None = None, write=publish_jdbc) -> list[str]:
+    """Gold tables and the new quality results to the warehouse.
+
+    ``published`` holds the results the warehouse has already, when there are any;
+    the write step transforms nothing.
+    """
     frames = {t: read_layer(spark, lake, "gold", t) for t in tables}
-    return publish_tables(frames, warehouse, mode=mode, write=write)
+    done = publish_tables(frames, warehouse, mode=mode, write=write)
+    results = read_history(spark, lake.quality)
+    if results is not None:
+        publish_history(results, results.where("false") if published is None else published,
+                        warehouse, write=write)
+        done.append("dq_results")
+    return done

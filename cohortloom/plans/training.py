@@ -22,15 +22,23 @@ NOT_FEATURES = (
 SEED = 42
 
 
-def classifiers(train_rows: int, seed: int = SEED, trees: int = 300, rounds: int = 100) -> dict:
-    """Settings as close as MLlib allows to the usual single-machine defaults."""
+#: The deepest trees that MLlib grows.
+DEEPEST = 30
+
+
+def classifiers(train_rows: int, seed: int = SEED, trees: int = 300, rounds: int = 100,
+                depth: int = DEEPEST) -> dict:
+    """Settings as close as MLlib allows to the usual single-machine defaults.
+
+    ``depth`` bounds the trees of the forest; the default bounds nothing that MLlib can grow.
+    """
     common = {"featuresCol": "features", "labelCol": "label"}
     return {
         "logistic_regression": LogisticRegression(
             maxIter=2000, regParam=1.0 / max(train_rows, 1), standardization=False, **common
         ),
         "random_forest": RandomForestClassifier(
-            numTrees=trees, minInstancesPerNode=3, maxDepth=12, seed=seed, **common
+            numTrees=trees, minInstancesPerNode=3, maxDepth=depth, seed=seed, **common
         ),
         "gradient_boosting": GBTClassifier(
             maxIter=rounds, maxDepth=3, stepSize=0.1, seed=seed, **common
@@ -59,7 +67,8 @@ def prepare(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def train_classifiers(df: DataFrame, features: Sequence[str] | None = None, *,
-                      seed: int = SEED, trees: int = 300, rounds: int = 100) -> DataFrame:
+                      seed: int = SEED, trees: int = 300, rounds: int = 100,
+                      depth: int = DEEPEST) -> DataFrame:
     """Scored validation and test rows of every model: model, split, label, score.
 
     The stored split is used as it is. The prepared rows are written once; every
@@ -75,7 +84,7 @@ def train_classifiers(df: DataFrame, features: Sequence[str] | None = None, *,
     train = rows.where("split = 'train'").persist()
     held_out = rows.where("split in ('validation', 'test')")
     scored = None
-    for name, estimator in classifiers(train_rows[0], seed, trees, rounds).items():
+    for name, estimator in classifiers(train_rows[0], seed, trees, rounds, depth).items():
         fitted = estimator.fit(train)
         one = fitted.transform(held_out).select(
             F.lit(name).alias("model_name"), "split", "subject_id",

@@ -46,9 +46,11 @@ def file_manifest(matched: DataFrame, path: str = "path",
     stem = F.col(path)
     for extension in extensions:
         stem = F.replace(stem, F.lit(extension), F.lit(""))
-    listed = matched.where(F.col(path).isNotNull()).select(path).distinct()
+    # Records listed under several of their files have one stem.
+    listed = matched.where(F.col(path).isNotNull()).select(stem.alias("_stem")).distinct()
     endings = F.array(*[F.lit(e) for e in extensions])
-    return listed.select(F.explode(F.transform(endings, lambda e: F.concat(stem, e))).alias("file"))
+    return listed.select(
+        F.explode(F.transform(endings, lambda e: F.concat("_stem", e))).alias("file"))
 
 
 def write_manifest(matched: DataFrame, folder: str) -> None:

@@ -18,7 +18,8 @@ class RawTable:
     partition_by: tuple[str, ...] = ()
 
 
-WHOLE, TEXT, NUMBER, TIME = T.IntegerType(), T.StringType(), T.DoubleType(), T.TimestampType()
+KEY, WHOLE, TEXT = T.LongType(), T.IntegerType(), T.StringType()
+NUMBER, TIME = T.DoubleType(), T.TimestampType()
 
 
 def _schema(**columns: T.DataType) -> T.StructType:
@@ -30,7 +31,7 @@ TABLES: dict[str, RawTable] = {
     "patients": RawTable(
         "patients.csv",
         _schema(
-            subject_id=WHOLE, gender=TEXT, anchor_age=WHOLE, anchor_year=WHOLE,
+            subject_id=KEY, gender=TEXT, anchor_age=WHOLE, anchor_year=WHOLE,
             anchor_year_group=TEXT, dod=TIME,
         ),
         10, required=("subject_id",),
@@ -38,7 +39,7 @@ TABLES: dict[str, RawTable] = {
     "admissions": RawTable(
         "admissions.csv",
         _schema(
-            subject_id=WHOLE, hadm_id=WHOLE, admittime=TIME, dischtime=TIME,
+            subject_id=KEY, hadm_id=KEY, admittime=TIME, dischtime=TIME,
             deathtime=TIME, admission_type=TEXT, admit_provider_id=TEXT,
             admission_location=TEXT, discharge_location=TEXT, insurance=TEXT,
             language=TEXT, marital_status=TEXT, race=TEXT, edregtime=TIME,
@@ -49,7 +50,7 @@ TABLES: dict[str, RawTable] = {
     "diagnoses_icd": RawTable(
         "diagnoses_icd.csv",
         _schema(
-            subject_id=WHOLE, hadm_id=WHOLE, seq_num=WHOLE, icd_code=TEXT,
+            subject_id=KEY, hadm_id=KEY, seq_num=WHOLE, icd_code=TEXT,
             icd_version=WHOLE,
         ),
         10, required=("subject_id",),
@@ -57,15 +58,15 @@ TABLES: dict[str, RawTable] = {
     "d_labitems": RawTable(
         "d_labitems.csv",
         _schema(
-            itemid=WHOLE, label=TEXT, fluid=TEXT, category=TEXT,
+            itemid=KEY, label=TEXT, fluid=TEXT, category=TEXT,
         ),
         5, required=("itemid",), unique=("itemid",),
     ),
     "labevents": RawTable(
         "labevents.csv",
         _schema(
-            labevent_id=WHOLE, subject_id=WHOLE, hadm_id=WHOLE, specimen_id=WHOLE,
-            itemid=WHOLE, order_provider_id=TEXT, charttime=TIME, storetime=TIME,
+            labevent_id=KEY, subject_id=KEY, hadm_id=KEY, specimen_id=KEY,
+            itemid=KEY, order_provider_id=TEXT, charttime=TIME, storetime=TIME,
             value=TEXT, valuenum=NUMBER, valueuom=TEXT, ref_range_lower=NUMBER,
             ref_range_upper=NUMBER, flag=TEXT, priority=TEXT, comments=TEXT,
         ),
@@ -74,8 +75,8 @@ TABLES: dict[str, RawTable] = {
     "chartevents": RawTable(
         "chartevents.csv",
         _schema(
-            subject_id=WHOLE, hadm_id=WHOLE, stay_id=WHOLE, caregiver_id=WHOLE,
-            charttime=TIME, storetime=TIME, itemid=WHOLE, value=TEXT,
+            subject_id=KEY, hadm_id=KEY, stay_id=KEY, caregiver_id=KEY,
+            charttime=TIME, storetime=TIME, itemid=KEY, value=TEXT,
             valuenum=NUMBER, valueuom=TEXT, warning=WHOLE,
         ),
         0,
@@ -83,7 +84,7 @@ TABLES: dict[str, RawTable] = {
     "ecg_record_list": RawTable(
         "record_list.csv",
         _schema(
-            subject_id=WHOLE, study_id=WHOLE, file_name=TEXT, ecg_time=TIME,
+            subject_id=KEY, study_id=KEY, file_name=TEXT, ecg_time=TIME,
             path=TEXT,
         ),
         0, required=("subject_id", "study_id"),

@@ -16,27 +16,34 @@ HISTORY_KEYS = ("run_id", "checked_at", "layer", "table_name", "check_name")
 
 @dataclass(frozen=True)
 class Warehouse:
+    """A database to publish to, and how much it takes at once.
+
+    ``connections`` bounds the tasks that write side by side: what the database
+    can take, whatever the cluster has.
+    """
+
     url: str
+    connections: int
     schema: str = "lake"
     properties: Mapping[str, str] = field(default_factory=dict)
+    rows_per_batch: int = 10_000
 
     def table(self, name: str) -> str:
         return f"{self.schema}.{name}"
 
+    def options(self, name: str) -> dict[str, str]:
+        """Settings of Spark's JDBC sink for one table."""
+        return {
+            **self.properties, "url": self.url, "dbtable": self.table(name),
+            "batchsize": str(self.rows_per_batch), "numPartitions": str(self.connections),
+            # An overwrite empties the table; its definition and grants stay.
+            "truncate": "true",
+        }
 
-def publish_jdbc(df: DataFrame, warehouse: Warehouse, table: str, *, mode: str = "overwrite",
-                 batch_size: int = 10_000, connections: int | None = None) -> None:
-    """Write a table in batches; an overwrite empties the table but keeps it.
 
-    ``connections`` bounds how many tasks write at once, which is what the
-    database can take rather than what the cluster has.
-    """
-    writer = df.write.mode(mode).option("batchsize", batch_size).option(
-        "truncate", str(mode == "overwrite").lower()
-    )
-    if connections:
-        writer = writer.option("numPartitions", connections)
-    writer.jdbc(warehouse.url, warehouse.table(table), properties=dict(warehouse.properties))
+def publish_jdbc(df: DataFrame, warehouse: Warehouse, table: str, *, mode: str = "overwrite"
+                 ) -> None:
+    df.write.format("jdbc").options(**warehouse.options(table)).mode(mode).save()
 
 
 def publish_tables(tables: Mapping[str, DataFrame], warehouse: Warehouse, *,

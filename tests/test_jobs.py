@@ -92,39 +92,46 @@ def test_publication_drops_internal_lineage(spark, home):
     lake_home, *_ = home
     seen = {}
     done = publish_warehouse(
-        spark, lake_home, Warehouse("jdbc:none"),
+        spark, lake_home, Warehouse("jdbc:none", 2),
         write=lambda df, target, table, mode: seen.update({table: (df.columns, mode)}))
-    assert sorted(done) == sorted(seen)
+    assert sorted(done) == sorted(seen) and "dq_results" in seen
     columns, mode = seen["cohort"]
     assert mode == "overwrite" and "_run_id" in columns and "_source" not in columns
     results = spark.read.parquet(lake_home.quality)
     fresh = {}
-    publish_history(results, results.where("layer = 'gold'"), Warehouse("jdbc:none"),
+    publish_history(results, results.where("layer = 'gold'"), Warehouse("jdbc:none", 2),
                     write=lambda df, *a, **k: fresh.update(n=df.count()))
     assert fresh["n"] == results.where("layer <> 'gold'").count()
 
 
 def test_jdbc_options():
-    calls = []
+    calls = {}
 
     class Writer:
-        def mode(self, m):
-            calls.append(("mode", m))
+        def format(self, kind):
+            calls["format"] = kind
+            return self
+
+        def options(self, **settings):
+            calls["options"] = settings
             return self
 
-        def option(self, k, v):
-            calls.append((k, v))
+        def mode(self, m):
+            calls["mode"] = m
             return self
 
-        def jdbc(self, url, table, properties):
-            calls.append((url, table, properties))
+        def save(self):
+            calls["saved"] = True
 
     class Frame:
         write = Writer()
 
-    publish_jdbc(Frame(), Warehouse("jdbc:x", "lake", {"user": "u"}), "cohort", connections=4)
-    assert calls == [("mode", "overwrite"), ("batchsize", 10_000), ("truncate", "true"),
-                     ("numPartitions", 4), ("jdbc:x", "lake.cohort", {"user": "u"})]
+    with pytest.raises(TypeError, match="connections"):
+        Warehouse("jdbc:x")
+    publish_jdbc(Frame(), Warehouse("jdbc:x", 4, properties={"user": "u"}), "cohort")
+    assert calls == {"format": "jdbc", "mode": "overwrite", "saved": True, "options": {
+        "user": "u", "url": "jdbc:x", "dbtable": "lake.cohort", "batchsize": "10000",
+        "numPartitions": "4", "truncate": "true"}}
 
 
 def test_failing_gate_blocks_the_write_and_absent_files_are_told_apart(spark, home, tmp_path):
@@ -158,10 +165,18 @@ def test_histories_and_runs_are_idempotent(spark, tmp_path):
     assert lake.append_history(rows, path, ["run_id", "m"]) == 2
     assert lake.append_history(rows, path, ["run_id", "m"]) == 0
     runs = str(tmp_path / "r")
-    lake.replace_run(rows, runs)
-    lake.replace_run(rows.where("run_id = 'r2'").withColumn("v", F.lit(9)), runs)
-    assert sorted((r.run_id, r.v) for r in spark.read.parquet(runs).collect()) == [
-        ("r1", 1), ("r2", 9)]
+    def stored():
+        return sorted((r.run_id, r.v) for r in lake.read_runs(spark, runs, rows.schema).collect())
+
+    lake.replace_run(rows, runs, "r1")
+    lake.replace_run(rows, runs, "r2")
+    lake.replace_run(rows.withColumn("v", F.lit(9)), runs, "r2")
+    assert stored() == [("r1", 1), ("r2", 9)]
+    # A rerun without rows leaves none; a run that looks like a number stays text.
+    lake.replace_run(rows.where("v > 99"), runs, "r2")
+    dated = rows.withColumn("run_id", F.lit("20240101"))
+    lake.replace_run(dated.where("m = 'a'").limit(1), runs, "20240101")
+    assert stored() == [("20240101", stored()[0][1]), ("r1", 1)]
 
 
 def test_partitioned_writes_are_rebalanced(spark, tmp_path):
@@ -225,14 +240,37 @@ def test_stream_equals_batch(spark, small, tmp_path):
     stays = lake.materialise(t.admissions, "stays")
     items = lake.materialise(t.dictionary, "items")
     suite = Suite("silver", "labevents_stream").not_null("valuenum")
-    query = load_events(raw_event_stream(spark, folder, 1), stays, items, target,
-                        rules=ORDER_RULES, suite=suite, lateness="36500 days",
-                        checkpoint=str(tmp_path / "checkpoint"))
-    query.awaitTermination(120)
+
+    def load():
+        load_events(raw_event_stream(spark, folder, 1), lambda: stays, lambda: items, target,
+                    rules=ORDER_RULES, suite=suite,
+                    checkpoint=str(tmp_path / "checkpoint")).awaitTermination(120)
+
+    load()
     keys = ["hadm_id", "itemid", "charttime", "valuenum"]
-    streamed = spark.read.parquet(target.path("silver", "labevents_stream"))
     batch = clean_events(raw, stays, items, ORDER_RULES)
-    assert streamed.select("batch").distinct().count() == 3
-    assert sorted(map(tuple, streamed.select(*keys).collect())) == sorted(
-        map(tuple, batch.select(*keys).withColumn("charttime", F.col("charttime").cast("timestamp"))
-            .collect()))
+
+    def streamed():
+        return spark.read.parquet(target.path("silver", "labevents_stream"))
+
+    def rows(df):
+        return sorted(map(tuple, df.select(*keys).withColumn(
+            "charttime", F.col("charttime").cast("timestamp")).collect()))
+
+    assert streamed().select("batch").distinct().count() == 3
+    assert rows(streamed()) == rows(batch)
+    # Old rows that come again add nothing; one that was never there is kept, however late.
+    late = raw.join(batch.orderBy("charttime", "hadm_id", "itemid").limit(1).select("hadm_id", "itemid"),
+                    ["hadm_id", "itemid"])
+    more = late.unionByName(late.withColumn("valuenum", F.col("valuenum") + 1000))
+    as_raw_file(more, "labevents").coalesce(1).write.mode("append").csv(
+        folder, header=True, escape='"')
+    load()
+    assert rows(streamed()) == rows(clean_events(
+        raw.unionByName(more), stays, items, ORDER_RULES))
+
+
+def test_keys_above_32_bits_are_read(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("itemid,label,fluid,category\n3000000000,a,b,c\n")
+    rows = lake.read_csv(spark, str(tmp_path / "x.csv"), TABLES["d_labitems"].schema)
+    assert rows.first().itemid == 3_000_000_000
