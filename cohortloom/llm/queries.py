@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortloom.llm import oracles
 from cohortloom.llm.common import digest_bin
 from cohortloom.llm.decontaminate import find_leaks, leak_report
 from cohortloom.llm.host_rules import judge_hosts
@@ -102,4 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_repeated_passages": op5_repeated_passages, "op6_license_rules": op6_license_rules,
     "op7_window_scores": op7_window_scores, "op8_systematic_mix": op8_systematic_mix, "op9_token_counts": op9_token_counts, "op10_benchmark_leaks": op10_benchmark_leaks,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_host_rules": oracles.HOST_RULES, "op4_jaccard_join": oracles.JACCARD_JOIN,
+    "op8_systematic_mix": oracles.SYSTEMATIC_MIX, "op10_benchmark_leaks": oracles.BENCHMARK_LEAKS,
+}
