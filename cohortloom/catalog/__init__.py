@@ -1,6 +1,6 @@
 """Every operator as a named query over the given tables."""
 
 from cohortloom.catalog import attach, conform, models, reports, scans, summarise  # noqa: F401
-from cohortloom.catalog.base import ORACLES, QUERIES
+from cohortloom.catalog.base import BUILDERS, ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES"]
+__all__ = ["BUILDERS", "ORACLES", "QUERIES"]

@@ -11,6 +11,8 @@ from cohortloom.catalog.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: The builders by themselves: several can share the derived layers of one ``Tables``.
+BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {}
 
 
 def query(name: str, sql: str | None = None):
@@ -27,6 +29,7 @@ def query(name: str, sql: str | None = None):
             return plain_times(build(Tables(spark, folder)))
 
         QUERIES[name] = run
+        BUILDERS[name] = build
         if sql is not None:
             ORACLES[name] = shared_sql.with_definitions(sql)
         return build

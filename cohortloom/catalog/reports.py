@@ -138,14 +138,14 @@ def profile_side(group: str, side: str) -> str:
 
 @query("w13_lab_profile", f"""
 with {profile_side('angina', 'ill')}, {profile_side('control', 'well')},
-labs as (select distinct lab_name, is_acute_marker, aggregation_rule from panel)
-select labs.*, ill.admissions as angina_admissions, well.admissions as control_admissions,
+profiled as (select distinct lab_name, is_acute_marker, aggregation_rule from panel)
+select profiled.*, ill.admissions as angina_admissions, well.admissions as control_admissions,
   {', '.join(f"{rounded(f'{t}.{c}', 6)} as {side}_{c}" for c in ('mean', 'median', 'sd')
              for t, side in (('ill', 'angina'), ('well', 'control')))},
   {rounded('ill.mean - well.mean', 6)} as mean_difference,
   {rounded("""(ill.mean - well.mean) / nullif(sqrt(
     (pow(ifnull(ill.sd, 0), 2) + pow(ifnull(well.sd, 0), 2)) / 2.0), 0)""", 3)} as cohens_d
-from labs left join ill using (lab_name, is_acute_marker, aggregation_rule)
+from profiled left join ill using (lab_name, is_acute_marker, aggregation_rule)
 left join well using (lab_name, is_acute_marker, aggregation_rule)""")
 def w13(t):
     return rounded_columns(warehouse.lab_profile(t.panel), PROFILE_VALUES)

@@ -63,11 +63,10 @@ def freshness(df: DataFrame, now: Column, loaded_at: str = "_loaded_at",
 def class_balance(df: DataFrame, label: str = "label", minimum_rows: int = 100,
                   low: float = 0.20, high: float = 0.80) -> DataFrame:
     share = F.avg(F.col(label).cast("double"))
-    return df.agg(
-        F.count(F.lit(1)).alias("total_rows"), F.round(share, 6).alias("positive_share")
-    ).where(
-        (F.col("total_rows") < minimum_rows)
-        | (F.col("positive_share") < low) | (F.col("positive_share") > high)
+    counts = df.agg(F.count(F.lit(1)).alias("total_rows"), share.alias("positive_share"))
+    outside = (F.col("positive_share") < low) | (F.col("positive_share") > high)
+    return counts.where((F.col("total_rows") < minimum_rows) | outside).withColumn(
+        "positive_share", F.round("positive_share", 6)
     )
 
 

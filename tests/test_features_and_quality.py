@@ -98,6 +98,28 @@ def test_mart_keeps_missing_values(spark):
     assert {r.null_rate for r in empty.collect()} == {1.0}
 
 
+def test_mart_renames_features_that_clash(spark):
+    cohort = spark.createDataFrame([(1, 10, 1, "M", 60, "train")],
+                                   "subject_id int, hadm_id int, label int, gender string, "
+                                   "anchor_age int, split string")
+    wide = spark.createDataFrame([(10, 1.5, 2.5, 3.5)],
+                                 "hadm_id int, ecg_path double, Age double, glucose double")
+    points = spark.createDataFrame([(10, 7, "p/x", 0.5)],
+                                   "hadm_id int, study_id int, path string, hours_from_admit double")
+    row = features.build_feature_mart(cohort, wide, points).first()
+    assert (row.lab_ecg_path, row.lab_Age, row.glucose, row.ecg_path, row.age) == (
+        1.5, 2.5, 3.5, "p/x", 60)
+
+
+def test_wide_label_sets_are_pivoted_in_groups(spark, monkeypatch):
+    monkeypatch.setattr(features, "PIVOT_GROUP", 2)
+    long = spark.createDataFrame(
+        [(s, i, f"lab {i}", float(s + i)) for s in (1, 2) for i in range(5)],
+        "hadm_id int, itemid int, label string, feature_value double")
+    rows = {r.hadm_id: r for r in features.pivot_features(long).collect()}
+    assert [rows[2][f"lab_{i}"] for i in range(5)] == [2.0, 3.0, 4.0, 5.0, 6.0]
+
+
 def test_suite_reports_persists_and_then_blocks(spark, tmp_path):
     df = spark.createDataFrame([(1, 1, 0), (1, None, 1), (2, 3, 5), (None, 4, 0), (None, 4, 0)],
                                "id int, value int, label int")
@@ -196,3 +218,16 @@ def test_signals(spark):
                                   "id int, signal array<array<float>>")
     row = signals.resample_signal(frame, "signal", 100).first()
     assert [len(c) for c in row.signal] == [100, 100]
+
+
+def test_empty_and_null_signals(spark):
+    df = spark.createDataFrame(
+        [(1, ["I"], []), (2, ["I"], None), (3, ["I", "II"], [None, [1.0, 2.0]]), (4, ["I"], [[]])],
+        "id int, names array<string>, signal array<array<double>>")
+    got = {r.id: r.normalised for r in signals.normalise_signal(
+        df, "names", "signal", ("I", "II")).collect()}
+    assert got[1] == [[], []] and got[4] == [[], []] and got[2] == [[], []]
+    assert got[3][0] == [0.0, 0.0] and np.allclose(got[3][1], [-1, 1])
+    sized = {r.id: r.signal for r in signals.resample_signal(df, "signal", 4).collect()}
+    assert sized[1] == [] and sized[2] is None and sized[4] == [[0.0] * 4]
+    assert sized[3][0] is None and len(sized[3][1]) == 4

@@ -1,28 +1,26 @@
-"""Registered queries against their SQL, on whole tables of the smallest scale.
+"""All registered queries against their SQL, on whole tables of the smallest scale.
 
-Queries that build the full feature table take seconds each; they run when
-ALL_QUERIES is set. The rest always runs.
+They share one set of derived layers, which are built once per session.
 """
 
 from __future__ import annotations
 
 import importlib.util
-import os
 
 import pytest
 from conftest import ROOT
 from oracle import connect, difference
 
-from cohortloom.catalog import ORACLES, QUERIES
+from cohortloom.catalog import BUILDERS, ORACLES, QUERIES
+from cohortloom.catalog.base import plain_times
+from cohortloom.catalog.tables import Tables
 
 WITHOUT_SQL = {"a8_assign_split_murmur3", "p4_train_classifiers", "p7_resample_signal"}
-HEAVY = (
-    "a5_", "a11_", "a12_", "a14_", "c15_", "j6_", "j11_", "j12_", "j13_", "m4_", "m9_", "m11_",
-    "p2_", "p3_", "q12_", "q13_", "s10_", "s11_export_summary", "s14_", "t15_", "w1_", "w3_",
-    "w4_", "w7_", "w8_", "w9_", "w10_", "w11_", "w12_", "w13_", "w14_",
-)
-CHECKED = [n for n in QUERIES if n in ORACLES
-           and (os.environ.get("ALL_QUERIES") or not n.startswith(HEAVY))]
+
+
+@pytest.fixture(scope="module")
+def tables(spark, small):
+    return Tables(spark, small)
 
 
 @pytest.fixture(scope="module")
@@ -35,9 +33,9 @@ def test_every_query_but_three_has_sql():
     assert set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", CHECKED)
-def test_query_equals_sql(spark, small, database, name):
-    assert difference(QUERIES[name](spark, small), database, ORACLES[name]) is None
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_query_equals_sql(tables, database, name):
+    assert difference(plain_times(BUILDERS[name](tables)), database, ORACLES[name]) is None
 
 
 def test_entry_runs(spark):
