@@ -15,16 +15,16 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cohortloom.llm.components import connected
-from cohortloom.llm.decontaminate import (clean_documents, find_leaks, hit_words, leak_report,
+from cohortloom.llm.decontaminate import (clean_documents, find_leaks, leak_report,
                                           without_words)
-from cohortloom.llm.jaccard_join import JaccardJoin, index_keys, keep_one_each, link_documents
+from cohortloom.llm.jaccard_join import (JaccardJoin, WordHashes, index_keys, keep_one_each,
+                                         link_documents)
 from cohortloom.llm.license_rules import LicenseScanner, all_rules, resolve, scan_licenses
 from cohortloom.llm.passages import remove_repeats
 from cohortloom.llm.token_counts import count_tokens
 from cohortloom.llm.token_store import read_documents, read_index, train_dictionary, write_store
 from cohortloom.llm.tokens import Encoder
 from cohortloom.llm.window_lm import WindowModel, fit, log_likelihoods, score_documents
-from cohortloom.llm.jaccard_join import WordHashes
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 PLAIN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
