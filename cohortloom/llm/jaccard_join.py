@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -192,8 +193,52 @@ def indexed(docs: DataFrame, text: str, carry: list[str], rule: JaccardJoin) ->
     return text_columns(docs, text, fields, prepare, carry)
 
 
-def similar(pairs: DataFrame, sets: DataFrame, rule: JaccardJoin) -> DataFrame:
-    """The pairs (a, b) whose sets are similar, by the sets themselves."""
+def near_pairs(pairs: DataFrame, nodes: DataFrame, rule: JaccardJoin) -> DataFrame:
+    """The pairs (a, b) that sizes and bit maps do not rule out."""
+    sides = [nodes.select(F.col("node").alias(c), F.col("n_shingles").alias(f"{c}_size"),
+                          F.col("map").alias(f"{c}_map")) for c in ("a", "b")]
+    both = pairs.join(sides[0], "a").join(sides[1], "b").select(
+        "a", "b", "a_size", "b_size", "a_map", "b_map")
+
+    def run(batches):
+        for batch in batches:
+            a, b = (batch.column(c).to_numpy() for c in ("a_size", "b_size"))
+            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64
+                                         ).reshape(len(a), -1) for c in ("a_map", "b_map"))
+            apart = np.bitwise_count(left ^ right).sum(1, dtype=np.int64)
+            near = may_be_similar(a, b, apart, rule)
+            yield pa.RecordBatch.from_arrays(
+                [pc.filter(batch.column(c), pa.array(near)) for c in ("a", "b")], names=["a", "b"])
+
+    return both.mapInArrow(run, "a bigint, b bigint")
+
+
+def may_be_similar(a: np.ndarray, b: np.ndarray, apart: np.ndarray, rule: JaccardJoin
+                   ) -> np.ndarray:
+    """By sizes and differing bits, of which there are at most |a u b| - |a n b|."""
+    return (100 * np.minimum(a, b) >= rule.percent * np.maximum(a, b)) & (
+        (100 + rule.percent) * apart <= (100 - rule.percent) * (a + b))
+
+
+def similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, rule: JaccardJoin) -> DataFrame:
+    """The pairs (a, b) whose sets are similar, by the sets of their texts, read again."""
+    pairs = written(pairs, "jaccard-pairs")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = written(wanted.join(nodes.select("node", "ident", "text_hash"), "node"),
+                     "jaccard-wanted").withColumnsRenamed({"ident": "_ident", "text_hash": "_hash"})
+    if wanted.count() <= rule.most_broadcast:
+        wanted = F.broadcast(wanted)
+    texts = docs.join(wanted, F.col("ident").eqNullSafe(F.col("_ident")) & (
+        F.col("text_hash") == F.col("_hash"))).select("node", "_text")
+
+    def prepare():
+        hashes = WordHashes()
+        return lambda own: [pa.array([shingles(spaced_words(t), rule.size, hashes).view(np.int64)
+                                      for t in own], pa.list_(pa.int64()))]
+
+    tokens = [T.StructField("tokens", T.ArrayType(T.LongType(), False))]
+    sets = written(text_columns(texts, "_text", tokens, prepare, ["node"]).dropDuplicates(["node"]),
+                   "jaccard-sets")
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("_left"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("_right"))
     both = pairs.join(left, "a").join(right, "b").select(
@@ -205,8 +250,6 @@ def similar(pairs: DataFrame, sets: DataFrame, rule: JaccardJoin) -> DataFrame:
 
 def near_in_block(rule: JaccardJoin):
     """Reads rows sorted by (key, left, right); yields the pairs their bit maps do not rule out."""
-    spare = 100 - rule.percent
-
     def pairs_of(rows: pa.Table):
         same = rows.column("left")[0] == rows.column("right")[0]
         node, size, part = (rows.column(c).to_numpy() for c in ("node", "size", "part"))
@@ -216,12 +259,8 @@ def near_in_block(rule: JaccardJoin):
         for i in np.flatnonzero(in_left).tolist():
             others = np.flatnonzero((part != part[i]) & (
                 np.arange(len(node)) > i if same else ~in_left))
-            sizes = size[others]
-            others = others[(100 * np.minimum(sizes, size[i])
-                             >= rule.percent * np.maximum(sizes, size[i]))]
             apart = np.bitwise_count(maps[others] ^ maps[i]).sum(1, dtype=np.int64)
-            # |x u y| - |x n y| is at least the differing bits.
-            near = others[(100 + rule.percent) * apart <= spare * (size[others] + size[i])]
+            near = others[may_be_similar(size[others], size[i], apart, rule)]
             if len(near):
                 yield np.minimum(node[near], node[i]), np.maximum(node[near], node[i])
 
@@ -258,23 +297,25 @@ def left_over(members: DataFrame, parts: DataFrame, nodes: DataFrame, rule: Jacc
               ) -> DataFrame:
     """Pairs (a, b) of nodes in one bucket but different components that may be similar.
 
-    A bucket's nodes outside its centre's component are dealt to blocks by hash, and
-    so are those inside; blocks meet in pairs, except two of the second kind.
+    A large bucket's nodes outside its centre's component are dealt to blocks by hash,
+    and so are those inside; blocks meet in pairs, except two of the second kind.
     """
     part = F.coalesce(F.col("component"), F.col("node"))
-    placed = members.join(parts, "node", "left").select("key", "node", "centre", part.alias("part"))
-    heads = parts.select(F.col("node").alias("centre"), F.col("component").alias("_head"))
-    placed = placed.join(heads, "centre", "left").select(
-        "key", "node", "part", (F.col("part") != F.coalesce("_head", "centre")).alias("out"))
+    placed = members.select("key", "node").join(parts, "node", "left").select(
+        "key", "node", part.alias("part"))
     open_keys = placed.groupBy("key").agg(
-        F.count_if("out").alias("_out"), F.count_if(~F.col("out")).alias("_in")).where("_out > 0")
-    blocks = placed.join(open_keys, "key").withColumns({
-        "_outs": F.ceil(F.col("_out") / rule.block).cast("int"),
-        "_ins": F.ceil(F.col("_in") / rule.block).cast("int")})
-    block = F.when(F.col("out"), F.pmod(F.xxhash64("node"), "_outs")).otherwise(
-        F.col("_outs") + F.pmod(F.xxhash64("node"), "_ins")).cast("int")
-    last = F.when(F.col("out"), F.col("_outs") + F.col("_ins")).otherwise(F.col("_outs")) - 1
-    rows = blocks.withColumn("block", block).select(
+        F.min_by("part", "node").alias("_head"), F.count(F.lit(1)).alias("_all"),
+        F.min("part").alias("_low"), F.max("part").alias("_high")).where("_low != _high")
+    placed = placed.join(open_keys.select("key", "_head", "_all"), "key").select(
+        "key", "node", "part", (F.col("part") != F.col("_head")).alias("_out"),
+        F.ceil(F.col("_all") / rule.block).cast("int").alias("_n"))
+    # A bucket of one block is compared whole; in a larger one blocks 0 to n - 1 are those
+    # outside the centre's component, n to 2n - 1 those inside.
+    whole, own = F.col("_n") == 1, F.pmod(F.xxhash64("node"), "_n").cast("int")
+    block = F.when(whole, F.lit(0)).when(F.col("_out"), own).otherwise(F.col("_n") + own)
+    last = F.when(whole, F.lit(0)).when(F.col("_out"), 2 * F.col("_n") - 1).otherwise(
+        F.col("_n") - 1)
+    rows = placed.withColumn("block", block).select(
         "key", "node", "part", "block", F.explode(F.sequence(F.lit(0), last)).alias("_other"))
     rows = rows.select("key", "node", "part", "block", F.least("block", "_other").alias("left"),
                        F.greatest("block", "_other").alias("right"))
@@ -305,38 +346,30 @@ def link_documents(docs: DataFrame, rule: JaccardJoin | None = None, *, ident: s
     nodes = rows.where("size(keys) > 0").join(
         classes.select(F.col("node").alias("row")), "row").withColumnRenamed("row", "node")
     postings = nodes.select("node", F.explode("keys").alias("key"))
-    mixed = F.xxhash64("node")
+    # Few columns while every key is there; the other centres follow for shared keys only.
     buckets = postings.groupBy("key").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("node").alias("centre"), F.max("node").alias("_last"),
-        F.min(F.struct(mixed.alias("h"), "node")).alias("_some")).where("_n > 1")
-    members = written(postings.join(buckets, "key").select(
-        "key", "node", "centre", "_last", F.col("_some.node").alias("_third")), "jaccard-members")
-
+        F.count(F.lit(1)).alias("_n"), F.min("node").alias("centre")).where("_n > 1")
+    members = written(postings.join(buckets, "key").select("key", "node", "centre"),
+                      "jaccard-members")
     named = members.select("node").distinct().join(
         rows.select(F.col("row").alias("node"), "ident", "text_hash", "n_shingles", "map"), "node")
     named = written(named, "jaccard-nodes")
-    wanted = named.select("node", F.col("ident").alias("_ident"), F.col("text_hash").alias("_hash"))
-    if named.count() <= rule.most_broadcast:
-        wanted = F.broadcast(wanted)
-    texts = frame.join(wanted, F.col("ident").eqNullSafe(F.col("_ident")) & (
-        F.col("text_hash") == F.col("_hash"))).select("node", "_text")
-
-    def prepare():
-        hashes = WordHashes()
-        return lambda own: [pa.array([shingles(spaced_words(t), rule.size, hashes).view(np.int64)
-                                      for t in own], pa.list_(pa.int64()))]
 
-    tokens = [T.StructField("tokens", T.ArrayType(T.LongType(), False))]
-    sets = written(text_columns(texts, "_text", tokens, prepare, ["node"]).dropDuplicates(["node"]),
-                   "jaccard-sets")
-
-    centres = F.array("centre", "_last", "_third")
-    stars = members.select("node", F.explode(centres).alias("_centre")).where("node != _centre")
+    # Keys with the same nodes are one bucket; count, xor and sum of node hashes tell them.
+    mixed = F.xxhash64("node")
+    some = F.min(F.struct(mixed.alias("h"), "node"))["node"]
+    centres = members.groupBy("key").agg(
+        F.array(F.min("node"), F.max("node"), some).alias("_centres"),
+        F.count(F.lit(1)).alias("_n"), F.bit_xor(mixed).alias("_xor"),
+        F.sum(F.shiftright(mixed, 16)).alias("_sum"))
+    centres = centres.dropDuplicates(["_centres", "_n", "_xor", "_sum"])
+    members = written(members.join(centres.select("key", "_centres"), "key"), "jaccard-buckets")
+    stars = members.select("node", F.explode("_centres").alias("_centre")).where("node != _centre")
     stars = stars.select(F.least("node", "_centre").alias("a"),
                          F.greatest("node", "_centre").alias("b")).distinct()
-    links = written(similar(stars, sets, rule), "jaccard-links")
+    links = written(similar(near_pairs(stars, named, rule), frame, named, rule), "jaccard-links")
     parts = written(connected(links), "jaccard-parts")
-    more = written(similar(left_over(members, parts, named, rule), sets, rule), "jaccard-links")
+    more = similar(left_over(members, parts, named, rule), frame, named, rule)
     joined = connected(links.unionByName(more))
 
     labels = classes.join(joined, "node")
