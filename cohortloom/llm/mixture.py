@@ -14,12 +14,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortloom.llm.common import GAP, digest_bin, running_sum, size_class
+from cohortloom.llm.common import GAP, digest_bin, running_sum, size_class, written
 
 WEIGHTS = (5, 2, 1)
 LIMIT = 3
 #: Parts of one copy in which expected copies are counted.
 UNIT = 10**12
+#: Sources whose row of targets is sent to all tasks; for more of them rows are shuffled.
+MOST_SOURCES = 100_000
 #: Documents of one size class are spread over so many bins.
 BINS = 256
 
@@ -83,7 +85,9 @@ def systematic_copies(docs: DataFrame, *, size: str, source: str = "source",
     above it. A null source is a source of its own.
     """
     sized = docs.withColumns({"_source": source_key(source), "_size": F.col(size)})
-    targets = source_targets(sized, weights, limit)
+    targets = written(source_targets(sized, weights, limit), "source-targets")
+    if targets.count() <= MOST_SOURCES:
+        targets = F.broadcast(targets)
     rows = sized.join(targets, "_source").withColumns({
         "_class": size_class("_size"), "_bin": digest_bin(order[0], BINS),
         "_expected": F.col("_expected").cast("decimal(20,0)")})
