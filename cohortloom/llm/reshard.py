@@ -17,8 +17,8 @@ from pyspark.sql import types as T
 
 from cohortloom.llm.common import digest_bin, running_sum, size_class
 
-#: Rows of one shard or size class are spread over so many bins.
-BINS = 4096
+#: Rows of one size class in a shard, and of one new shard, are spread over so many bins.
+BINS, SLOT_BINS = 256, 2048
 
 
 def even_capacities(total: int, shards: int) -> list[int]:
@@ -119,7 +119,8 @@ def reshard(rows: DataFrame, *, size: str, old: str, capacities: Sequence[int] |
     middle = F.col("_start") + F.expr("_bytes div 2")
     placed = placed.join(F.broadcast(plan), "_was").withColumn("shard", F.element_at(
         F.filter("_blocks", lambda b: b["end"] > middle), 1)["shard"])
-    slots = placed.drop("_was", "_bytes", "_class", "_start", "_blocks").withColumn("_one", F.lit(1))
+    slots = placed.drop("_was", "_bytes", "_class", "_start", "_blocks").withColumns(
+        {"_one": F.lit(1), "_bin": digest_bin(order[0], SLOT_BINS)})
     return running_sum(slots, ["shard", "_bin"], keys, {"slot": "_one"}).drop("_bin", "_one")
 
 
