@@ -80,8 +80,8 @@ class WordHashes(dict):
         return value
 
 
-def shingles(words: list[bytes], size: int, hashes: WordHashes) -> np.ndarray:
-    """Distinct 64-bit shingle hashes in ascending order; none without words."""
+def ordered_shingles(words: list[bytes], size: int, hashes: WordHashes) -> np.ndarray:
+    """64-bit shingle hashes in the order of the text; none without words."""
     if not words:
         return np.empty(0, np.uint64)
     codes = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
@@ -91,7 +91,12 @@ def shingles(words: list[bytes], size: int, hashes: WordHashes) -> np.ndarray:
     for k in range(width):
         out = (out ^ codes[k:k + n]) * MIX
         out ^= out >> np.uint64(32)
-    return np.unique(out)
+    return out
+
+
+def shingles(words: list[bytes], size: int, hashes: WordHashes) -> np.ndarray:
+    """Distinct 64-bit shingle hashes in ascending order; none without words."""
+    return np.unique(ordered_shingles(words, size, hashes))
 
 
 def token_counts(docs: DataFrame, text: str, rule: JaccardJoin) -> np.ndarray:

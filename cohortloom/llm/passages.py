@@ -1,9 +1,11 @@
-"""Repeated passages, removed by hashing the units of lines.
-
-A line is cut into units at the ends of sentences, so that a passage pasted into the
-middle of a line is met as well. The digests of normalised units are grouped over
-all documents; the earliest occurrence stays. A run of repeated units goes if it has
-enough words, so that single short sentences which many documents share stay.
+"""Repeated passages, removed by hashing the units of lines and windows of words.
+
+A line is cut into units at the ends of sentences. The digests of normalised units are
+grouped over all documents; the earliest occurrence stays. A passage that starts or ends
+inside a sentence is met by its windows of words: winnowed anchors, of which every window
+holds one, tell where a window may be repeated, and only there all windows are grouped.
+Words of repeated units and windows go in runs; a run of a few words and bytes stays, so
+that single short sentences which many documents share do.
 """
 
 from __future__ import annotations
@@ -17,14 +19,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from cohortloom.llm.common import text_columns, written
+from cohortloom.llm.jaccard_join import WordHashes, ordered_shingles
 
 #: Ends a unit: a line break, or white space after the end of a sentence.
 UNIT_END = re.compile(rb"\n|(?<=[.!?])[ \t\r]+")
-#: Words a run of repeated units must have, and words of a unit at a run's edge.
-MIN_RUN_WORDS, MIN_EDGE_WORDS = 20, 4
+#: A run of repeated words goes if it has so many words, or so many bytes.
+MIN_WORDS, MIN_BYTES = 4, 24
+#: Words in a window and in an anchor. Of the anchors of a window, the least one is taken.
+WINDOW, ANCHOR = 20, 8
+#: Bytes that bytes.split() takes as white space.
+BLANK = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 
 
 def units_of(text: bytes) -> list[tuple[int, int, int, int]]:
@@ -38,89 +44,143 @@ def units_of(text: bytes) -> list[tuple[int, int, int, int]]:
     return out
 
 
+def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First and end byte of every word between white space."""
+    blank = np.concatenate([[True], BLANK[np.frombuffer(text, np.uint8)], [True]])
+    return np.flatnonzero(blank[:-1] & ~blank[1:]), np.flatnonzero(~blank[:-1] & blank[1:])
+
+
+def anchors_of(words: list[bytes], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, hash) of the least anchor of every window; equal windows have equal ones."""
+    if len(words) < WINDOW:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    each = ordered_shingles(words, ANCHOR, hashes)
+    own = np.lib.stride_tricks.sliding_window_view(each, WINDOW - ANCHOR + 1)
+    at = np.unique(own.argmin(1) + np.arange(len(own)))
+    return at, each[at]
+
+
 def unit_table(docs: DataFrame, carry: list[str], text: str) -> DataFrame:
     def prepare():
+        hashes = WordHashes()
+
+        def lists(rows, kind):
+            offsets = pa.array(np.cumsum([0, *map(len, rows)]), pa.int32())
+            flat = np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64)
+            return pa.ListArray.from_arrays(offsets, pa.array(flat).cast(kind))
+
         def compute(texts):
-            rows = [units_of(t) if t else [] for t in texts]
-            ends = np.cumsum([0, *map(len, rows)])
-            flat = np.array([u for r in rows for u in r], object).reshape(-1, 4)
-            offsets = pa.array(ends, pa.int32())
-            digests = np.array(flat[:, 3].tolist(), np.uint64).view(np.int64)
-            parts = [*(flat[:, k].astype(np.int32) for k in range(3)), digests]
-            return [pa.ListArray.from_arrays(offsets, pa.array(p)) for p in parts]
+            units = [np.array([u[3] for u in units_of(t or b"")], np.uint64).view(np.int64)
+                     for t in texts]
+            found = [anchors_of((t or b"").lower().split(), hashes) for t in texts]
+            return [lists(units, pa.int64()), lists([f[0] for f in found], pa.int32()),
+                    lists([f[1].view(np.int64) for f in found], pa.int64())]
         return compute
 
     ints, longs = T.ArrayType(T.IntegerType()), T.ArrayType(T.LongType())
-    fields = [T.StructField("starts", ints), T.StructField("ends", ints),
-              T.StructField("words", ints), T.StructField("digests", longs)]
+    fields = [T.StructField("digests", longs), T.StructField("anchor_places", ints),
+              T.StructField("anchors", longs)]
     return text_columns(docs, text, fields, prepare, carry)
 
 
-def removable(repeated: list[int], starts: list[int], ends: list[int], words: list[int],
-              min_run: int = MIN_RUN_WORDS, min_edge: int = MIN_EDGE_WORDS) -> list[list[int]]:
-    """[start, end, words] of each run of consecutive repeated units that is long enough."""
-    out, run = [], []
-
-    def close():
-        while run and words[run[0]] < min_edge:
-            run.pop(0)
-        while run and words[run[-1]] < min_edge:
-            run.pop()
-        n = sum(words[i] for i in run)
-        if n >= min_run:
-            out.append([starts[run[0]], ends[run[-1]], n])
-
-    for i in sorted(repeated):
-        if run and i != run[-1] + 1:
-            close()
-            run = []
-        run.append(i)
-    close()
+def runs(text: bytes, units: list[int], windows: list[int],
+         min_words: int = MIN_WORDS, min_bytes: int = MIN_BYTES) -> list[list[int]]:
+    """[start, end, words] of each run of repeated words that is long enough.
+
+    ``units`` are places of repeated units; ``windows`` are pairs of the first and the
+    end word that go with a repeated window, one after the other.
+    """
+    starts, ends = word_places(text)
+    gone = np.zeros(len(starts) + 1, np.int64)
+    if units:
+        own = units_of(text)
+        for start, end in ((own[i][0], own[i][1]) for i in units):
+            gone[np.searchsorted(starts, start)] += 1
+            gone[np.searchsorted(starts, end)] -= 1
+    if windows:
+        np.add.at(gone, windows[::2], 1)
+        np.add.at(gone, windows[1::2], -1)
+    marked = np.concatenate([[False], np.cumsum(gone[:-1]) > 0, [False]])
+    out = []
+    for first, end in zip(np.flatnonzero(~marked[:-1] & marked[1:]).tolist(),
+                          np.flatnonzero(marked[:-1] & ~marked[1:]).tolist(), strict=True):
+        span = [int(starts[first]), int(ends[end - 1]), end - first]
+        if span[2] >= min_words or span[1] - span[0] >= min_bytes:
+            out.append(span)
     return out
 
 
-def find_repeats(docs: DataFrame, *, ident: str = "doc_id", text: str = "text",
-                 min_run: int = MIN_RUN_WORDS, min_edge: int = MIN_EDGE_WORDS) -> DataFrame:
-    """Per row of ``docs``: id, text_hash, n_units, n_repeated, spans of what may go.
+def shared_digests(places: DataFrame) -> DataFrame:
+    """Digests of more than one occurrence, and the row and place of the first by (id, row, place)."""
+    return places.groupBy("digest").agg(
+        F.count(F.lit(1)).alias("_n"), F.min(F.struct("ident", "row", "place")).alias("_first")
+    ).where("_n > 1").select("digest", F.col("_first.row").alias("_row"),
+                             F.col("_first.place").alias("_place"))
 
-    A unit's occurrences rank by (id, row, place); all but the first are repeats, in
-    the same document too. spans are [start, end, words] with places in the bytes of
-    the original text. Null and empty texts have no units. An empty table gives no
-    rows. Of equal rows the first stored one keeps its units. Units are compared by
-    64-bit digests.
-    """
+
+def repeats_of(places: DataFrame) -> DataFrame:
+    """All occurrences but the first of every digest: digest, row, place, _row, _place of the first."""
+    return places.join(shared_digests(places), "digest").where(
+        (F.col("row") != F.col("_row")) | (F.col("place") != F.col("_place")))
+
+
+def window_table(rows: DataFrame) -> DataFrame:
+    """ident, row, place, digest of every window that holds a repeated anchor."""
+    places = rows.select("row", F.explode(F.arrays_zip("anchor_places", "anchors")).alias("_a")
+                         ).select("row", F.col("_a.anchor_places").alias("place"),
+                                  F.col("_a.anchors").alias("digest"))
+    shared = places.groupBy("digest").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    wanted = places.join(shared, "digest").groupBy("row").agg(
+        F.collect_list("place").alias("_anchors"))
+    texts = rows.select("row", "ident", "_text").join(wanted, "row").select(
+        "row", "ident", "_text", "_anchors")
+    schema = T.StructType([texts.schema["row"], texts.schema["ident"],
+                           T.StructField("place", T.IntegerType()),
+                           T.StructField("digest", T.LongType())])
+
+    def run(batches):
+        hashes = WordHashes()
+        for batch in batches:
+            for i in range(batch.num_rows):
+                own = ordered_shingles(batch.column(2)[i].cast(pa.binary()).as_py().lower().split(),
+                                       WINDOW, hashes)
+                near = np.array(batch.column(3)[i].as_py(), np.int64)[:, None] - np.arange(
+                    WINDOW - ANCHOR + 1)
+                at = np.unique(near[(near >= 0) & (near < len(own))])
+                same = pa.array(np.full(len(at), i))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(same), batch.column(1).take(same),
+                     pa.array(at.astype(np.int32)), pa.array(own[at].view(np.int64))],
+                    names=schema.names)
+
+    return texts.mapInArrow(run, schema)
+
+
+def found_repeats(docs: DataFrame, ident: str, text: str) -> DataFrame:
+    """Per row of ``docs``: ident, text_hash, n_units, _units, _windows, _text."""
     frame = docs.select(F.col(ident).alias("ident"), F.xxhash64(F.col(text)).alias("text_hash"),
                         F.col(text).alias("_text"))
-    rows = written(unit_table(frame, ["ident", "text_hash"], "_text").withColumn(
+    rows = written(unit_table(frame, ["ident", "text_hash", "_text"], "_text").withColumn(
         "row", F.monotonically_increasing_id()), "passage-units")
-    places = rows.select("ident", "row", F.posexplode("digests").alias("place", "digest"))
-    rank = F.struct("ident", "row", "place")
-    shared = places.groupBy("digest").agg(
-        F.count(F.lit(1)).alias("_n"), F.min(rank).alias("_first")).where("_n > 1")
-    first = F.struct(F.col("_first.row"), F.col("_first.place"))
-    repeats = places.join(shared.select("digest", first.alias("_first")), "digest").where(
-        F.struct("row", "place") != F.col("_first"))
-    found = repeats.groupBy("row").agg(F.collect_list("place").alias("repeated"))
-    marked = rows.join(found, "row", "left").select(
-        "ident", "text_hash", F.size("digests").cast("long").alias("n_units"),
-        F.coalesce("repeated", F.array().cast("array<int>")).alias("repeated"),
-        "starts", "ends", "words")
-    kind = docs.schema[ident].dataType
-    schema = T.StructType([
-        T.StructField("ident", kind), T.StructField("text_hash", T.LongType()),
-        T.StructField("n_units", T.LongType()), T.StructField("n_repeated", T.LongType()),
-        T.StructField("spans", T.ArrayType(T.ArrayType(T.IntegerType())))])
+    units = repeats_of(rows.select("ident", "row", F.posexplode("digests").alias(
+        "place", "digest"))).groupBy("row").agg(F.collect_list("place").alias("_units"))
+    # A window that overlaps its own first occurrence leaves that one whole.
+    first = F.when(F.col("row") == F.col("_row"), F.greatest(
+        F.col("place"), F.col("_place") + WINDOW)).otherwise(F.col("place"))
+    windows = repeats_of(written(window_table(rows), "passage-windows")).groupBy("row").agg(
+        F.flatten(F.collect_list(F.array(first, F.col("place") + WINDOW))).alias("_windows"))
+    return rows.select("row", "ident", "text_hash", F.size("digests").cast("long").alias("n_units"),
+                       "_text").join(units, "row", "left").join(windows, "row", "left").drop("row")
 
-    def run(batches):
-        for batch in batches:
-            lists = [batch.column(c).to_pylist() for c in ("repeated", "starts", "ends", "words")]
-            spans = [removable(*row, min_run, min_edge) if row[0] else []
-                     for row in zip(*lists, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(list(map(len, lists[0])), pa.int64()),
-                 pa.array(spans, pa.list_(pa.list_(pa.int32())))], names=schema.names)
 
-    return marked.mapInArrow(run, schema).withColumnRenamed("ident", ident)
+def find_repeats(docs: DataFrame, *, ident: str = "doc_id", text: str = "text",
+                 min_words: int = MIN_WORDS, min_bytes: int = MIN_BYTES) -> DataFrame:
+    """Per row of ``docs``: id, text_hash, n_units, n_repeated, spans of what may go.
+
+    The columns of ``remove_repeats``, which tells the rules, without the texts.
+    """
+    return remove_repeats(docs, ident=ident, text=text, min_words=min_words, min_bytes=min_bytes
+                          ).select(ident, "text_hash", "n_units", "n_repeated", "spans")
 
 
 def cut(text: bytes, spans: list[list[int]]) -> bytes:
@@ -132,36 +192,37 @@ def cut(text: bytes, spans: list[list[int]]) -> bytes:
 
 
 def remove_repeats(docs: DataFrame, *, ident: str = "doc_id", text: str = "text",
-                   min_run: int = MIN_RUN_WORDS, min_edge: int = MIN_EDGE_WORDS) -> DataFrame:
-    """Per row: id, n_units, n_repeated, removed_words, spans, and the text without the spans.
-
-    A text that goes altogether is left as ''; a null one stays null.
+                   min_words: int = MIN_WORDS, min_bytes: int = MIN_BYTES) -> DataFrame:
+    """Per row: id, text_hash, n_units, n_repeated, removed_words, spans, text without the spans.
+
+    Occurrences of a unit, and of a window of words at any place, rank by (id, row,
+    place); all but the first are repeats, in the same document too. spans are
+    [start, end, words] with places in the bytes of the original text. A run of
+    fewer than ``min_words`` words and ``min_bytes`` bytes stays. A text that goes
+    altogether is left as ''; a null one stays null. Null and empty texts have no
+    units. Of equal rows the first stored one keeps its units. An empty table gives
+    no rows. Units and windows are compared by 64-bit hashes.
     """
-    found = written(find_repeats(docs, ident=ident, text=text, min_run=min_run,
-                                 min_edge=min_edge), "passages")
-    # Rows equal in id and text may lose different copies: they are matched by turn.
-    named = docs.select(F.col(ident), F.xxhash64(F.col(text)).alias("text_hash"),
-                        F.col(text).alias("_text"))
-    same = Window.partitionBy(ident, "text_hash").orderBy(F.lit(0))
-    left = named.withColumn("_turn", F.row_number().over(same))
-    right = found.withColumn("_turn", F.row_number().over(same))
-    joined = left.withColumnRenamed(ident, "_ident").withColumnRenamed("text_hash", "_hash").join(
-        right.withColumnRenamed("_turn", "_right"),
-        F.col("_ident").eqNullSafe(F.col(ident)) & (F.col("_hash") == F.col("text_hash"))
-        & (F.col("_turn") == F.col("_right")))
-    order = [ident, "n_units", "n_repeated", "spans"]
-    schema = T.StructType([*(joined.schema[c] for c in order),
-                           T.StructField("kept_text", T.StringType())])
+    found = found_repeats(docs, ident, text).select(
+        "ident", "text_hash", "n_units", "_units", "_windows", "_text")
+    schema = T.StructType([
+        *(found.schema[c] for c in ("ident", "text_hash", "n_units")),
+        T.StructField("n_repeated", T.LongType()),
+        T.StructField("spans", T.ArrayType(T.ArrayType(T.IntegerType()))),
+        T.StructField("kept_text", T.StringType())])
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(4).cast(pa.binary()).to_pylist()
-            new = [t if t is None else cut(t, s)
-                   for t, s in zip(texts, batch.column(3).to_pylist(), strict=True)]
+            units, windows = (batch.column(k).to_pylist() for k in (3, 4))
+            texts = batch.column(5).cast(pa.binary()).to_pylist()
+            spans = [runs(t, u or [], w or [], min_words, min_bytes) if u or w else []
+                     for t, u, w in zip(texts, units, windows, strict=True)]
+            new = [t if t is None else cut(t, s) for t, s in zip(texts, spans, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:4], pa.array(new, pa.binary()).cast(pa.string())],
-                names=schema.names)
-
-    return joined.select(*order, "_text").mapInArrow(run, schema).withColumn(
-        "removed_words", F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s[2]))
+                [*batch.columns[:3], pa.array([len(u or []) for u in units], pa.int64()),
+                 pa.array(spans, pa.list_(pa.list_(pa.int32()))),
+                 pa.array(new, pa.binary()).cast(pa.string())], names=schema.names)
 
+    return found.mapInArrow(run, schema).withColumn(
+        "removed_words", F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s[2])
+    ).withColumnRenamed("ident", ident)

@@ -67,7 +67,7 @@ def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
-    return remove_repeats(table(spark, folder, "documents"))
+    return remove_repeats(table(spark, folder, "documents")).drop("text_hash")
 
 
 def op6_license_rules(spark: SparkSession, folder: str) -> DataFrame:

@@ -292,6 +292,24 @@ def test_repeated_rows_keep_one_text(spark, odd_rows):
     assert remove_repeats(docs.where("false")).count() == 0
 
 
+def test_passages_go_inside_sentences_and_single_lines_go(spark):
+    words = sentences(2, 7).split()[3:58]
+    passage, line = " ".join(words), prose(3, 19, 5000)
+    rows = [(i, f"{prose(300 + i, 30, 5000)} {passage} {prose(400 + i, 25, 5000)}\n"
+                f"{prose(500 + i, 8, 5000)}\n{line}\n{prose(600 + i, 8, 5000)}", "s")
+            for i in range(4)]
+    rows += [(10, "go on " * 60, "s"), (11, None, "s")]
+    got = {r.doc_id: r for r in remove_repeats(frame(spark, rows)).collect()}
+    assert got[0].kept_text == rows[0][1] and got[11].kept_text is None
+    for i, text, _ in rows[1:4]:
+        raw = text.encode()
+        assert [raw[a:b].decode() for a, b, _ in got[i].spans] == [passage, line]
+        assert got[i].removed_words == 55 + 19
+        assert got[i].kept_text == text.replace(passage, "").replace(line, "")
+    # A window that overlaps its own first occurrence leaves that one whole.
+    assert got[10].kept_text.split()[:20] == ["go", "on"] * 10
+
+
 # -- licenses ---------------------------------------------------------------------------
 
 def test_keywords_stand_in_every_match_and_rules_are_many():
