@@ -332,10 +332,12 @@ def left_over(members: DataFrame, parts: DataFrame, nodes: DataFrame, rule: Jacc
 
 def link_documents(docs: DataFrame, rule: JaccardJoin | None = None, *, ident: str = "doc_id",
                    text: str = "text") -> DataFrame:
-    """Per row of ``docs``: the id, text_hash, n_shingles, component_id.
+    """Per row of ``docs``: the id, text_hash, n_shingles, component_id, component.
 
-    component_id is the smallest id in the component of the row's set. A null, empty
-    or blank text has no shingles, links with nothing and keeps its own id. Repeated
+    component_id is the smallest id in the component of the row's set; where ids are
+    null or repeated, components share it. component differs between any two. A null, empty
+    or blank text has no shingles, links with nothing, keeps its own id and is in no
+    component. Repeated
     rows and texts with equal sets are one node. An empty table gives no rows. Other
     columns are not read. Shingles are compared by 64-bit hashes.
     """
@@ -379,33 +381,35 @@ def link_documents(docs: DataFrame, rule: JaccardJoin | None = None, *, ident: s
 
     labels = classes.join(joined, "node")
     least = labels.groupBy("component").agg(F.min("label").alias("component_id"))
-    of_class = labels.join(least, "component").select("digest", "component_id")
+    of_class = labels.join(least, "component").select("digest", "component_id", "component")
     lone = classes.join(of_class, "digest", "left").select(
-        "digest", F.coalesce("component_id", "label").alias("component_id"))
+        "digest", F.coalesce("component_id", "label").alias("component_id"),
+        F.coalesce("component", "node").alias("component"))
     return rows.join(lone, "digest", "left").select(
         F.col("ident").alias(ident), "text_hash", "n_shingles",
         F.when(F.col("digest").isNull(), F.col("ident")).otherwise(F.col("component_id"))
-        .alias("component_id"))
+        .alias("component_id"), "component")
 
 
 def keep_one_each(docs: DataFrame, rule: JaccardJoin | None = None, *, ident: str = "doc_id",
-                  text: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: the one with the smallest id.
+                  text: str = "text", by: str = "component_id") -> DataFrame:
+    """``docs`` with one row of each ``by``: the one with the smallest id, null after others.
 
     Of equal ids the smallest text hash stays, and of equal rows one. Rows without
-    words all stay.
+    words all stay. component_id takes unlinked rows for one if their ids are null or
+    equal; component keeps one row of each of them.
     """
     linked = link_documents(docs, rule, ident=ident, text=text)
-    first = linked.where("n_shingles > 0").where(
-        F.col(ident).eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(
-        F.min("text_hash").alias("_hash"))
+    least = F.min(F.struct(F.col(ident).isNull(), F.col(ident).alias("id"), "text_hash"))
+    first = linked.where("n_shingles > 0").groupBy(by).agg(least.alias("_least")).select(
+        F.col("_least.id").alias("_id"), F.col("_least.text_hash").alias("_hash"))
     keyed = docs.select(
         F.struct(*(F.col(c) for c in docs.columns)).alias("_row"), F.col(ident).alias("_ident"),
         F.xxhash64(F.col(text)).alias("_text_hash"),
         F.coalesce(F.length(F.btrim(F.col(text), F.lit(" \t\n\x0b\x0c\r"))) > 0, F.lit(False))
         .alias("_has_words"))
     kept = keyed.where("_has_words").join(first, F.col("_ident").eqNullSafe(
-        F.col("component_id")) & (F.col("_text_hash") == F.col("_hash")))
+        F.col("_id")) & (F.col("_text_hash") == F.col("_hash")))
     turn = F.row_number().over(Window.partitionBy("_ident", "_text_hash").orderBy(F.lit(0)))
     kept = kept.withColumn("_turn", turn).where("_turn = 1").select("_row")
     return kept.unionByName(keyed.where("not _has_words").select("_row")).select("_row.*")

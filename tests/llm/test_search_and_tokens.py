@@ -172,6 +172,14 @@ def test_one_row_of_each_component_stays(spark, odd_rows):
     assert keep_one_each(docs.where("false")).count() == 0
 
 
+def test_unlinked_rows_with_null_or_equal_ids_all_stay(spark):
+    rows = [(None, prose(31, 30), "s"), (None, prose(32, 30), "s"), (8, prose(33, 30), "s"),
+            (8, prose(34, 30), "s"), (9, prose(34, 30), "s"), (None, prose(34, 30), "s"),
+            (None, prose(32, 30), "s")]
+    kept = keep_one_each(frame(spark, rows, clashing=True), by="component").collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter((i, t) for i, t, _ in rows[:4])
+
+
 def test_components_of_chains_and_loops(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 102), (102, 100), (7, 7), (9, 9)]
     edges += [(200, 200 + i) for i in range(1, 60)]
