@@ -6,16 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortloom.llm import oracles
-from cohortloom.llm.common import digest_bin
+from cohortloom.llm.common import digest_bin, written
 from cohortloom.llm.decontaminate import find_leaks, leak_report
 from cohortloom.llm.host_rules import judge_hosts
 from cohortloom.llm.jaccard_join import link_documents
 from cohortloom.llm.license_rules import scan_licenses
 from cohortloom.llm.mixture import systematic_copies, word_count
 from cohortloom.llm.passages import remove_repeats
-from cohortloom.llm.reshard import reshard
+from cohortloom.llm.reshard import reshard, rewrite_shards
 from cohortloom.llm.token_counts import count_tokens
 from cohortloom.llm.token_store import read_index, write_store
 from cohortloom.llm.window_lm import score_documents
@@ -29,16 +30,38 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1_reshard(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents from six uneven shards, by source, into eight equal ones."""
+    """All documents from six uneven shards, by source, into eight equal ones.
+
+    The old shards are written with their texts, those that change are written again,
+    and the rows are read from the files that the manifest names.
+    """
     text = F.coalesce("text", F.lit(""))
-    rows = table(spark, folder, "documents").select(
-        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
-        F.crc32(text).alias("text_crc32"), digest_bin("source", OLD_SHARDS).alias("old_shard"))
-    placed = reshard(rows, size="size", old="old_shard", capacities=NEW_SHARDS,
-                     order=["doc_id", "text_crc32"], old_shards=OLD_SHARDS)
-    return placed.select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
-        F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+    size, crc = (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32")
+    docs = table(spark, folder, "documents")
+    stored = docs.withColumns({"_key": F.monotonically_increasing_id(),
+                               "old_shard": digest_bin("source", OLD_SHARDS)})
+    before, after = fresh_path(spark, "old-shards"), fresh_path(spark, "new-shards")
+    stored.write.option("compression", "zstd").partitionBy("old_shard").parquet(before)
+    old = spark.read.schema(stored.schema).parquet(before)
+    placed = written(reshard(
+        old.select("_key", "doc_id", size, crc, "old_shard"), size="size", old="old_shard",
+        capacities=NEW_SHARDS, order=["doc_id", "text_crc32"], old_shards=OLD_SHARDS
+    ).select("_key", "old_shard", "shard", "slot"), "placement")
+    manifest = rewrite_shards(placed, before, after, old="old_shard", key="_key",
+                              contents=old.drop("old_shard")).collect()
+    # An untouched shard's files have no slots; they are taken from the placement.
+    same = [m.shard for m in manifest if not m.rewritten]
+    rows = old.where(F.col("old_shard").isin(same)).join(
+        placed.select("_key", "shard", "slot"), "_key").select(*docs.columns, "shard", "slot")
+    paths = [m.path for m in manifest if m.rewritten]
+    if paths:
+        schema = T.StructType([*docs.schema, *placed.select("slot", "shard").schema])
+        new = spark.read.schema(schema).option("basePath", after).parquet(*paths)
+        rows = new.select(*rows.columns).unionByName(rows) if same else new
+    return rows.select(
+        "doc_id", size, crc, F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        digest_bin("source", OLD_SHARDS).alias("old_shard"))
 
 
 def vocabulary(name: str) -> str:

@@ -124,13 +124,16 @@ def reshard(rows: DataFrame, *, size: str, old: str, capacities: Sequence[int] |
     return running_sum(slots, ["shard", "_bin"], keys, {"slot": "_one"}).drop("_bin", "_one")
 
 
-def rewrite_shards(placed: DataFrame, old_folder: str, new_folder: str, *, old: str
-                   ) -> DataFrame:
+def rewrite_shards(placed: DataFrame, old_folder: str, new_folder: str, *, old: str,
+                   contents: DataFrame | None = None, key: str | None = None) -> DataFrame:
     """Write the shards that gave or took rows below ``new_folder``; a manifest of all.
 
     ``old_folder`` holds the present shards as ``<old>=<number>``. The manifest has
     shard, path, n_rows and rewritten; an untouched shard points to its old files.
-    A shard of several files is cut between tasks by slot.
+    A shard of several files is cut between tasks by slot. With ``contents``, the rows
+    written are its columns, found by ``key``, with shard and slot, so that texts do not
+    travel through the placement; they are dealt once, by key, and each task writes its
+    part of each shard.
     """
     moved = placed.groupBy("shard").agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -143,7 +146,9 @@ def rewrite_shards(placed: DataFrame, old_folder: str, new_folder: str, *, old:
     touched = [r.shard for r in shards if r.rewritten]
     out = placed.where(F.col("shard").isin(touched)).drop(old) if touched else None
     if out is not None:
-        out.hint("rebalance", "shard").write.partitionBy("shard").parquet(new_folder)
+        out = (out.hint("rebalance", "shard") if contents is None else
+               out.select(key, "shard", "slot").join(contents, key).drop(key))
+        out.write.option("compression", "zstd").partitionBy("shard").parquet(new_folder)
     rows = [(r.shard, f"{new_folder}/shard={r.shard}" if r.rewritten
              else f"{old_folder}/{old}={r.shard}", r.n_rows, r.rewritten) for r in shards]
     return placed.sparkSession.createDataFrame(rows, T.StructType([

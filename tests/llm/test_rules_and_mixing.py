@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -204,3 +205,19 @@ def test_only_affected_shards_are_written(spark, tmp_path):
     ids = [r.doc_id for m in manifest for r in spark.read.parquet(m.path).collect()]
     assert sorted(ids) == list(range(120))
     assert all(spark.read.parquet(m.path).count() == m.n_rows == 30 for m in manifest)
+
+
+def test_rows_of_op1_come_from_files_with_their_texts(spark, odd_rows, tmp_path):
+    rows = odd_rows + [(100 + i, prose(i, i % 97), f"s{i % 7}") for i in range(300)]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    out = QUERIES["op1_reshard"](spark, str(tmp_path))
+    files = [f for f in out.inputFiles() if re.search(r"/(?:old_)?shard=\d+/", f)]
+    assert any("/shard=" in f for f in files)
+    assert all("text" in spark.read.parquet(f).columns for f in files)
+    got = out.collect()
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == Counter(
+        (i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, _ in rows)
+    slots = defaultdict(list)
+    for r in got:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
