@@ -149,7 +149,8 @@ def permissive() -> list[Rule]:
         one("wtfpl", "wtfpl", "wtfpl"), one("wtfpl", "do what the", "do what the fuck you want to public license", GRANT),
         one("bsl-1.0", "boost software", "boost software license(?: version)?(?: 1 0)?", VERSION),
         one("postgresql", "postgresql", "postgresql license"), one("ncsa", "ncsa", "(?:university of illinois )?ncsa(?: open source)? license"),
-        *family("python", "python", "python software foundation license|psf license", "2.0"),
+        *family("python", "python software", "python software foundation license", "2.0"),
+        *family("python", "psf license", "psf license", "2.0"),
         *family("php", "php license", "php license", "3.0 3.01"), one("ruby", "ruby license", "ruby license"),
         one("vim", "vim license", "vim license"), one("w3c", "w3c", "w3c software(?: and document)?(?: notice and)? license"),
         one("curl", "curl license", "curl license"), one("openssl", "openssl", "openssl license"),
@@ -157,7 +158,7 @@ def permissive() -> list[Rule]:
         one("icu", "icu license", "icu license"), one("unicode", "unicode", "unicode(?: terms of use| license| data files)"),
         one("beerware", "beerware", "beerware(?: license)?"),
         one("json", "good not evil", "shall be used for good not evil", GRANT),
-        one("tcl", "tcl license", "tcl(?: tk)? license"), one("upl-1.0", "universal permissive", "universal permissive license(?: 1 0)?", VERSION),
+        one("tcl", "tcl", "tcl(?: tk)? license"), one("upl-1.0", "universal permissive", "universal permissive license(?: 1 0)?", VERSION),
         one("blueoak-1.0", "blue oak", "blue oak model license(?: 1 0 0)?", VERSION),
         one("mulan", "mulan", "mulan(?: psl| permissive)(?: software)?(?: license)?"),
         *family("afl", "academic free", "academic free license", "1.1 1.2 2.0 2.1 3.0"),
@@ -232,7 +233,8 @@ def notices() -> list[Rule]:
         one("proprietary", "proprietary", "proprietary and confidential|confidential and proprietary"),
         one("proprietary", "trade secret", "trade secrets? of"),
         one("no-reproduction", "may be reproduced", "no part of this (?:[a-z]+ )?may be reproduced"),
-        one("no-reproduction", "without permission", "without (?:the )?(?:prior |express )*written permission|without permission of the (?:author|publisher|owner)"),
+        one("no-reproduction", "written permission", "without (?:the )?(?:prior |express )*written permission"),
+        one("no-reproduction", "without permission", "without permission of the (?:author|publisher|owner)"),
         one("no-redistribution", "redistribut", "(?:may|must|shall) not be redistributed|redistribution is (?:not permitted|prohibited)"),
         one("public-domain", "public domain", "(?:released |dedicated |placed )?(?:in|into|to) the public domain"),
         one("personal-use", "personal use", "(?:for )?personal use only"),

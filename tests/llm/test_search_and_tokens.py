@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from dataclasses import replace
 
 import numpy as np
 import public_tokenizers
@@ -328,6 +329,45 @@ def test_keywords_stand_in_every_match_and_rules_are_many():
         re.compile(rule.pattern)
 
 
+def spelled(tree):
+    """Every choice of a parsed pattern, with one or no turn of what repeats."""
+    out = [""]
+    for kind, value in tree:
+        name = str(kind)
+        if name == "LITERAL":
+            own = [chr(value)]
+        elif name == "NOT_LITERAL":
+            own = ["x"]
+        elif name == "IN":
+            own = ["x" if str(value[0][0]) == "NEGATE" else chr(
+                value[0][1][0] if str(value[0][0]) == "RANGE" else value[0][1])]
+        elif name == "BRANCH":
+            own = [s for branch in value[1] for s in spelled(branch)]
+        elif name == "SUBPATTERN":
+            own = spelled(value[3])
+        elif name == "MAX_REPEAT":
+            low, high, inner = value
+            own = [s * n for s in spelled(inner) for n in {low, min(low + 1, high)}]
+        else:
+            assert name == "ASSERT_NOT", name
+            own = [""]
+        out = [a + b for a in out for b in dict.fromkeys(own)]
+    return out
+
+
+def test_every_alternative_of_a_rule_holds_its_keyword():
+    ungated = LicenseScanner([replace(r, keyword="") for r in all_rules()])
+    gated = LicenseScanner()
+    for rule in all_rules():
+        own = spelled(re._parser.parse(rule.pattern))
+        assert [s for s in own if rule.keyword not in s] == [], rule
+        whole = f" {own[-1]} ".encode()
+        assert sorted(gated.detections(whole)) == sorted(ungated.detections(whole))
+    for text, label in (("without the prior written permission of the publisher", "no-reproduction"),
+                        ("tcl tk license", "tcl"), ("psf license", "python")):
+        assert label in {d[2] for d in gated.detections(f" {text} ".encode())}
+
+
 @pytest.mark.parametrize(("text", "labels"), [
     ("Licensed under CC BY-NC 4.0.", "cc-by,cc-by-nc-4.0"),
     ("GNU General Public License, version 3", "gpl,gpl-3.0"),
