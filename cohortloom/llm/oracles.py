@@ -95,3 +95,21 @@ found as (select r, count(distinct item) as n_items,
 select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
   sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from docs left join words using (r) left join found using (r)"""
+
+LEXICAL_SEARCH = rf"""
+with docs as (select row_number() over () as r, doc_id, {PLAIN} as w from documents),
+corpus as (select count(*) as n, sum(len(w))::bigint as l from docs where len(w) > 0),
+counts as (select r, term, count(*) as tf from (select r, unnest(w) as term from docs) group by all),
+held as (select term, count(*) as df from counts group by term),
+queries as (select distinct item_id, unnest(w) as term from (
+    select item_id, {PLAIN} as w from benchmark)),
+weighed as (select item_id, term, floor(1000 * ln((2 * n + 2) / (2 * df + 1)))::bigint as weight
+  from queries join held using (term), corpus),
+factors as (select r, doc_id, 100 - 90 + (90 * len(w) * n) // l as m from docs, corpus where len(w) > 0),
+scores as (select item_id, doc_id, r,
+    sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+  from weighed join counts using (term) join factors using (r) group by all),
+ranked as (select item_id, doc_id, score, row_number() over (
+    partition by item_id order by score desc, doc_id nulls first)::integer as rank
+  from scores where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 10"""

@@ -13,6 +13,7 @@ from cohortloom.llm.common import digest_bin, written
 from cohortloom.llm.decontaminate import find_leaks, leak_report
 from cohortloom.llm.host_rules import judge_hosts
 from cohortloom.llm.jaccard_join import link_documents
+from cohortloom.llm.lexical_search import search_documents
 from cohortloom.llm.license_rules import scan_licenses
 from cohortloom.llm.mixture import systematic_copies, word_count
 from cohortloom.llm.passages import remove_repeats
@@ -119,14 +120,21 @@ def op10_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents of each benchmark item."""
+    return search_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_reshard": op1_reshard, "op2_token_store": op2_token_store,
     "op3_host_rules": op3_host_rules,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_repeated_passages": op5_repeated_passages, "op6_license_rules": op6_license_rules,
     "op7_window_scores": op7_window_scores, "op8_systematic_mix": op8_systematic_mix, "op9_token_counts": op9_token_counts, "op10_benchmark_leaks": op10_benchmark_leaks,
+    "op13_ranked_search": op13_ranked_search,
 }
 ORACLES: dict[str, str] = {
     "op3_host_rules": oracles.HOST_RULES, "op4_jaccard_join": oracles.JACCARD_JOIN,
     "op8_systematic_mix": oracles.SYSTEMATIC_MIX, "op10_benchmark_leaks": oracles.BENCHMARK_LEAKS,
+    "op13_ranked_search": oracles.LEXICAL_SEARCH,
 }
