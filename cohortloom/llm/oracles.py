@@ -113,3 +113,77 @@ ranked as (select item_id, doc_id, score, row_number() over (
     partition by item_id order by score desc, doc_id nulls first)::integer as rank
   from scores where score > 0)
 select item_id, rank, doc_id, score from ranked where rank <= 10"""
+
+
+def url_templates(levels: int = 8, support: int = 5, branching: int = 20, limit: float = 3.84,
+                  weight: float = 10.0, most: float = 0.5) -> str:
+    """One block of definitions per level of the tree."""
+    ending = r"'\.(html|htm|php|asp|aspx|jsp|pdf|txt|xml|json)\z'"
+    literal = "'=' || replace(replace(replace(segment, '{', '%7B'), '}', '%7D'), '|', '%7C')"
+    stem = f"regexp_replace(segment, {ending}, '')"
+    shape = rf"""(case when segment = '' then '' when regexp_matches({stem}, '^[0-9]+\z') then '{{n}}'
+      when regexp_matches({stem}, '[0-9]') then '{{x}}' else '{{w}}' end)
+      || regexp_extract(segment, {ending})"""
+
+    def apart(a: str, n: str) -> str:
+        a1, n1 = f"{a}::double", f"{n}::double"
+        a2, n2 = f"lag({a}) over w::double", f"lag({n}) over w::double"
+        gap, both = f"({a1} * {n2} - {a2} * {n1})", f"({a1} + {a2})"
+        return (f"{gap} * {gap} * ({n1} + {n2}) > {limit}::double * {both} * ({n1} + {n2} - {both})"
+                f" * {n1} * {n2}")
+
+    def level(i: int) -> str:
+        return f"""
+here{i} as materialized (select *, segments[{i + 1}] as segment,
+    case when len(segments) = {i + 1} then n else 0 end as ends from rows{i} where len(segments) > {i}),
+children{i} as materialized (select *, case when n >= {support} and n * {branching} >= sum(n) over (
+      partition by host, node) then {literal} else {shape} end as branch from (
+    select host, node, segment, sum(n)::bigint as n, sum(labelled)::bigint as labelled,
+      sum(bad)::bigint as bad, sum(ends)::bigint as ends, max(rate) as rate from here{i} group by all)),
+branches{i} as (select host, node, branch, sum(n)::bigint as n, sum(labelled)::bigint as labelled,
+    sum(bad)::bigint as bad, sum(ends)::bigint as ends, max(rate) as rate from children{i}
+  group by host, node, branch),
+ordered{i} as (select *, (bad + {weight}::double * rate) / (labelled + {weight}::double) as own from branches{i}),
+compared{i} as (select *, coalesce({apart('bad', 'labelled')} or {apart('ends', 'n')}, false) as fresh
+  from ordered{i} window w as (partition by host, node order by own, ends / n, branch)),
+grouped{i} as (select *, sum(fresh::int) over (partition by host, node order by own, ends / n, branch) as g
+  from compared{i}),
+merged{i} as (select host, node, g, node || '/' || array_to_string(list_sort(list(branch)), '|') as to_node,
+    (sum(bad) + {weight}::double * max(rate)) / (sum(labelled) + {weight}::double) as to_rate
+  from grouped{i} group by host, node, g),
+rows{i + 1} as materialized (select h.host, path, h.n, h.labelled, h.bad, segments, to_node as node, to_rate as rate
+  from here{i} h join children{i} c using (host, node, segment)
+    join grouped{i} b on b.host = h.host and b.node = h.node and b.branch = c.branch
+    join merged{i} m on m.host = h.host and m.node = h.node and m.g = b.g),"""
+
+    done = " union all ".join(f"select * from rows{i} where len(segments) = {i}"
+                              for i in range(levels + 2))
+    fits = {"example.com/de/": "block", "example.net/en/": "allow", "org/fr/": "allow", "net/": "block"}
+    case = "case " + " ".join(
+        f"when (host = '{h}' or ends_with(host, '.{h}')) and starts_with(path, '/{p}') then '{r}'"
+        for r in fits for h, p in [r.split("/", 1)]) + " end"
+    verdict = "case rule " + " ".join(f"when '{r}' then '{v}'" for r, v in fits.items())
+    return rf"""
+with raw as (select row_number() over () as r, page_id, case when instr(url, '://') > 0
+    then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
+parts as (select r, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') as host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from raw),
+marks as (select doc_id, max(greatest(1 - quality, toxic)) as bad from labels group by doc_id),
+urls as (select p.*, bad from parts p left join marks on doc_id = page_id),
+paths as materialized (select host, path, count(*) as n, count(bad) as labelled, coalesce(sum(bad), 0)::bigint as bad,
+    string_split(path, '/')[2:] as s from urls group by host, path),
+overall as (select coalesce(sum(bad) / sum(labelled), 0.0) as p from paths),
+hosts as (select host, (sum(bad) + {weight}::double * any_value(p)) / (sum(labelled) + {weight}::double) as rate
+  from paths, overall group by host),
+rows0 as materialized (select paths.host, path, n, labelled, bad, case when len(s) > {levels + 1}
+    then list_append(s[:{levels}], array_to_string(s[{levels + 1}:], '/')) else s end as segments,
+    '' as node, rate from paths join hosts using (host)),
+{"".join(map(level, range(levels + 1)))}
+done as ({done}),
+ruled as (select page_id, host, path, {case} as rule from parts)
+select page_id, host, path, rule, {verdict}
+  else case when rate > {most} then 'block' else 'allow' end end as verdict, node as template
+from ruled join done using (host, path)"""
+
+
+URL_TEMPLATES = url_templates()

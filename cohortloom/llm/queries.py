@@ -20,6 +20,7 @@ from cohortloom.llm.passages import remove_repeats
 from cohortloom.llm.reshard import reshard, rewrite_shards
 from cohortloom.llm.token_counts import count_tokens
 from cohortloom.llm.token_store import read_index, write_store
+from cohortloom.llm.url_templates import judge_urls
 from cohortloom.llm.window_lm import score_documents
 from cohortloom.session import fresh_path
 
@@ -120,6 +121,14 @@ def op10_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op11_url_templates(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages; a label of a document counts for the page of the same number."""
+    labels = table(spark, folder, "labels").select(
+        F.col("doc_id").alias("page_id"),
+        F.greatest(1 - F.col("quality"), F.col("toxic")).alias("bad"))
+    return judge_urls(table(spark, folder, "pages"), labels).drop("bad_rate")
+
+
 def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     """The ten best documents of each benchmark item."""
     return search_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -131,10 +140,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_jaccard_join": op4_jaccard_join,
     "op5_repeated_passages": op5_repeated_passages, "op6_license_rules": op6_license_rules,
     "op7_window_scores": op7_window_scores, "op8_systematic_mix": op8_systematic_mix, "op9_token_counts": op9_token_counts, "op10_benchmark_leaks": op10_benchmark_leaks,
-    "op13_ranked_search": op13_ranked_search,
+    "op11_url_templates": op11_url_templates, "op13_ranked_search": op13_ranked_search,
 }
 ORACLES: dict[str, str] = {
     "op3_host_rules": oracles.HOST_RULES, "op4_jaccard_join": oracles.JACCARD_JOIN,
     "op8_systematic_mix": oracles.SYSTEMATIC_MIX, "op10_benchmark_leaks": oracles.BENCHMARK_LEAKS,
-    "op13_ranked_search": oracles.LEXICAL_SEARCH,
+    "op11_url_templates": oracles.URL_TEMPLATES, "op13_ranked_search": oracles.LEXICAL_SEARCH,
 }
