@@ -187,3 +187,91 @@ from ruled join done using (host, path)"""
 
 
 URL_TEMPLATES = url_templates()
+
+
+def dialogue_repair() -> str:
+    """Costs and audits of the four grammar states as nine digits and the edits so far, so
+    that the least text is the cheapest and then the least audit."""
+    states = range(1, 5)  # start, system, user, assistant
+    after = {1: 3, 2: 3, 3: 4, 4: 3}
+    allowed = {"s": {1: 2}, "u": {1: 3, 2: 3, 4: 3}, "a": {3: 4}}
+
+    def plus(state: str, cost: str, edits: str) -> str:
+        return f"lpad((substr({state}, 1, 9)::int + {cost})::varchar, 9, '0') || substr({state}, 10) || '{edits}'"
+
+    def least(ways: list[str]) -> str:
+        return f"least({', '.join(ways)}, null)"
+
+    def inserted(list_name: str) -> str:
+        """The four states, with up to two rows inserted."""
+        ways = {s: [f"{list_name}[{s}]"] for s in states}
+        for s in states:
+            ways[after[s]].append(plus(f"{list_name}[{s}]", "5", "I"))
+            ways[after[after[s]]].append(plus(f"{list_name}[{s}]", "10", "II"))
+        return "[" + ", ".join(least(ways[s]) for s in states) + "]"
+
+    def step() -> str:
+        ways: dict[int, list[str]] = {s: [plus(f"q[{s}]", "2", "D")] for s in states}
+        fault = "(case when row.cut then 5 else 0 end)"
+        for s in states:
+            ways[after[s]].append(f"case when not row.gone then {plus(f'q[{s}]', f'1 + {fault}', 'R')} end")
+            for initial, moves in allowed.items():
+                if s in moves:
+                    ways[moves[s]].append(
+                        f"case when not row.gone and row.c = '{initial}' then {plus(f'q[{s}]', fault, 'K')} end")
+        return "[" + ", ".join(least(ways[s]) for s in states) + "]"
+
+    return rf"""
+with recursive keyed as (select *, row_number() over () as r, coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as k
+  from conversations),
+crcs as (select k, xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(
+    string_split(k, ''), lambda x: [ascii(x)::bigint, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda a, x: xor(xor(a, x) >> 1, (xor(a, x) & 1) * 3988292384)), 4294967295) % 20 as kind
+  from (select distinct k from keyed)),
+damaged as (select r, conv_id, turn, case when kind = 4 then 'user' else coalesce(role, ' ') end as role,
+    case kind when 1 then '' when 2 then translate(coalesce(text, ' '), '.!?', '') else coalesce(text, ' ') end as text,
+    unnest(case when kind = 3 then [0, 1] else [0] end) as copy
+  from keyed join crcs using (k) where kind <> 0),
+ordered as (select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text), r, copy) as i,
+    row_number() over (partition by conv_id, role, text order by turn nulls first, r, copy) > 1 as seen,
+    regexp_extract(text, '([^ 	-
+])[ 	-
+]*\z', 1) as tip from damaged),
+faults as (select *, tip = '' as blank, tip <> '' and seen as dup,
+    tip <> '' and not seen and tip not in ('.', '!', '?') as cut, tip = '' or seen as gone,
+    substr(role, 1, 1) as c from ordered),
+pairs as (select conv_id, lag(c) over (partition by conv_id order by i) || c as pair from faults),
+counts as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps,
+    count(*) filter (where blank) as blank, count(*) filter (where dup) as duplicate,
+    count(*) filter (where cut) as truncated, max(i) as n,
+    list(struct_pack(gone := gone, cut := cut, c := c) order by i) as word from faults group by conv_id),
+illegal as (select conv_id, count(*) filter (where pair not in ('su', 'ua', 'au')) as illegal
+  from pairs group by conv_id),
+steps as (select conv_id, word, 0 as pos, ['000000000', null, null, null]::varchar[] as p from counts
+  union all select conv_id, word, pos + 1, {step()}
+  from (select conv_id, word, pos, word[pos + 1] as row, {inserted('p')} as q from steps where pos < len(word))),
+finished as (select conv_id, {least(["p[1]", plus("p[2]", "10", "II"), plus("p[3]", "5", "I"), "p[4]"])} as best
+  from steps where pos = len(word)),
+audits as (select conv_id, substr(best, 1, 9)::bigint as cost, substr(best, 10) as audit from finished),
+signs as (select conv_id, unnest(string_split(audit, '')) as sign, generate_subscripts(string_split(audit, ''), 1) as pos
+  from audits where audit <> ''),
+placed as (select *, sum((sign <> 'I')::int) over w as i, sum((sign <> 'D')::int) over w as q
+  from signs window w as (partition by conv_id order by pos rows unbounded preceding)),
+lines as (select p.conv_id, pos, q, sign, f.role, f.text,
+    max((q = 1 and sign = 'K' and f.c = 's')::int) over (partition by p.conv_id) as has_system
+  from placed p left join faults f on f.conv_id is not distinct from p.conv_id and f.i = p.i and sign <> 'I'
+  where sign <> 'D'),
+repaired as (select conv_id, string_agg(case when sign = 'K' then role
+      when (q + has_system) % 2 = 1 then 'user' else 'assistant' end || ':' || coalesce(text, ''),
+    chr(10) order by pos) as body from lines group by conv_id),
+every as (select distinct conv_id from conversations)
+select e.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+  coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(cost, 0) as cost,
+  coalesce(audit, '') as audit, sha256(coalesce(body, '')) as repaired_sha256
+from every e left join counts c on c.conv_id is not distinct from e.conv_id
+  left join illegal i on i.conv_id is not distinct from e.conv_id
+  left join audits a on a.conv_id is not distinct from e.conv_id
+  left join repaired r on r.conv_id is not distinct from e.conv_id"""
+
+
+DIALOGUE_REPAIR = dialogue_repair()

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from cohortloom.llm import oracles
 from cohortloom.llm.common import digest_bin, written
 from cohortloom.llm.decontaminate import find_leaks, leak_report
+from cohortloom.llm.dialogue_repair import conversation_report, damage, repair_conversations
 from cohortloom.llm.host_rules import judge_hosts
 from cohortloom.llm.jaccard_join import link_documents
 from cohortloom.llm.lexical_search import search_documents
@@ -129,6 +130,12 @@ def op11_url_templates(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(table(spark, folder, "pages"), labels).drop("bad_rate")
 
 
+def op12_dialogue_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, damaged and repaired."""
+    conversations = table(spark, folder, "conversations")
+    return conversation_report(conversations, repair_conversations(damage(conversations)))
+
+
 def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     """The ten best documents of each benchmark item."""
     return search_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -140,10 +147,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_jaccard_join": op4_jaccard_join,
     "op5_repeated_passages": op5_repeated_passages, "op6_license_rules": op6_license_rules,
     "op7_window_scores": op7_window_scores, "op8_systematic_mix": op8_systematic_mix, "op9_token_counts": op9_token_counts, "op10_benchmark_leaks": op10_benchmark_leaks,
-    "op11_url_templates": op11_url_templates, "op13_ranked_search": op13_ranked_search,
+    "op11_url_templates": op11_url_templates, "op12_dialogue_repair": op12_dialogue_repair,
+    "op13_ranked_search": op13_ranked_search,
 }
 ORACLES: dict[str, str] = {
     "op3_host_rules": oracles.HOST_RULES, "op4_jaccard_join": oracles.JACCARD_JOIN,
     "op8_systematic_mix": oracles.SYSTEMATIC_MIX, "op10_benchmark_leaks": oracles.BENCHMARK_LEAKS,
-    "op11_url_templates": oracles.URL_TEMPLATES, "op13_ranked_search": oracles.LEXICAL_SEARCH,
+    "op11_url_templates": oracles.URL_TEMPLATES, "op12_dialogue_repair": oracles.DIALOGUE_REPAIR,
+    "op13_ranked_search": oracles.LEXICAL_SEARCH,
 }
