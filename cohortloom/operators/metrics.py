@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortloom.operators.bounds import value_bounds
 from cohortloom.operators.ranking import binned_totals
 
 GROUPS = ("model_name", "split")
@@ -42,12 +43,14 @@ def ranking_metrics(scored: DataFrame, groups: Sequence[str] = GROUPS, label: st
     """Exact ROC-AUC (ties count half) and average precision; NULL with one class.
 
     Rows are first counted per distinct score; cumulative counts then run bin by
-    bin, so neither a popular score nor a whole model sits in a single task.
+    bin, so neither a popular score nor a whole model sits in a single task. The
+    bins are cut where a sketch of the scores says, which reads them once more.
     """
     per_score = scored.groupBy(*groups, score).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    ranked = binned_totals(per_score, groups, score, ["pos", "neg"], descending=True)
+    ranked = binned_totals(per_score, groups, score, ["pos", "neg"], descending=True,
+                           bounds=value_bounds(scored, score))
     # Going down the scores: a positive beats every negative still below it.
     below = F.col("total_neg") - F.col("running_neg")
     wins = F.col("pos") * (below + F.col("neg") / 2)

@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortloom.functions.columns import ORDINAL_SPAN, hash_ordinal
+from cohortloom.operators.bounds import RANGE_BINS, bounds_and, value_bounds, with_bin
 
 DEFAULT_BINS = 65_536
-BINS_PER_OCTAVE = 1024
+#: Groups whose wanted bins, two rows each, are sent to all tasks; more are shuffled.
+MOST_GROUPS = 100_000
 
 
 def _sortable(df: DataFrame, name: str) -> bool:
@@ -45,22 +47,6 @@ def first_per_group(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return keep_first(df, [key], [F.col(c).asc() for c in order])
 
 
-def magnitude_bin(value: Column | str, per_octave: int = BINS_PER_OCTAVE) -> Column:
-    """A whole number that never decreases as ``value`` grows.
-
-    Bins are even inside each power of two, so they suit any scale and need no
-    pass over the data to find its bounds.
-    """
-    value = F.col(value) if isinstance(value, str) else value
-    size = F.least(F.abs(value), F.lit(1e308))
-    octave = F.floor(F.log2(size))
-    inside = F.floor((size / F.pow(F.lit(2.0), octave) - 1) * F.lit(per_octave))
-    number = (octave + F.lit(1100)) * F.lit(per_octave) + inside
-    # Never NULL, so that no null filter is derived for one of two equal scans
-    # and Spark can reuse the shuffle they share.
-    return F.coalesce(F.when(value > 0, number).when(value < 0, -number), F.lit(0).cast("long"))
-
-
 def _group(groups: Sequence[str]) -> Column:
     """The group columns as one value; structs compare NULL fields as equal."""
     return F.struct(F.lit(0).alias("_"), *groups)
@@ -100,13 +86,17 @@ def binned_totals(
     weights: Sequence[str],
     *,
     descending: bool = False,
+    bounds: list[float] | None = None,
 ) -> DataFrame:
     """Running totals of ``weights`` over distinct values, per group.
 
     ``df`` has one row per (group, value). Adds ``running_<w>`` (up to and
-    including the row) and ``total_<w>`` (the group's total).
+    including the row) and ``total_<w>`` (the group's total). Bins are cut at
+    ``bounds``, by default those of a sketch of the values, which takes a job.
     """
-    binned = df.withColumn("_group", _group(groups)).withColumn("_bin", magnitude_bin(value))
+    if bounds is None:
+        bounds = value_bounds(df, value)
+    binned = with_bin(df.withColumn("_group", _group(groups)), value, bounds)
     placed = binned.join(_bin_offsets(binned, weights, descending), ["_group", "_bin"])
     inside = _so_far(_inside_bin(F.col(value).desc() if descending else F.col(value).asc()))
     return placed.select(
@@ -161,43 +151,48 @@ def hash_sample(
 
 
 def exact_quantile(
-    df: DataFrame, groups: Sequence[str], value: str, share: float = 0.5
+    df: DataFrame, groups: Sequence[str], value: str, share: float = 0.5,
+    bins: int = RANGE_BINS,
 ) -> DataFrame:
     """Interpolated quantile per group, exact, with no group held by one task.
 
-    Equal values are counted before the shuffle; the bin totals then show which
-    one or two bins hold the wanted positions, and only those are sorted.
-    Returns the group columns and ``quantile``; a group without values has no row.
+    A sketch of all values cuts them into bins of about one size. One count per
+    group and bin, combined before the shuffle, shows which one or two bins hold
+    the wanted positions, and only the values of those are shuffled and sorted:
+    about 1 / ``bins`` of the rows. The sketch's job also estimates the number of groups,
+    so that the list of wanted bins is broadcast only while it is short. Returns the group columns and ``quantile``; a
+    group without values has no row. NaN is larger than all other values.
     """
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*groups, F.col(value).cast("double").alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_group", _group(groups))
-        .withColumn("_bin", magnitude_bin("_value"))
-    )
+    rows = df.select(*groups, F.col(value).cast("double").alias("_value")).where(
+        F.col("_value").isNotNull())
+    bounds, n_groups = bounds_and(rows, "_value", bins, F.approx_count_distinct(F.xxhash64(
+        F.lit(0), *groups)))
+    binned = with_bin(rows.withColumns({"_group": _group(groups), "_n": F.lit(1).cast("long")}),
+                      "_value", bounds)
     wanted = (
-        _bin_offsets(counts, ["_n"])
+        _bin_offsets(binned, ["_n"])
         .withColumn("_position", F.lit(share) * (F.col("_all__n") - 1))
         .where(F.col("_before__n") <= F.ceil("_position"))
         .where(F.col("_before__n") + F.col("_bin__n") > F.floor("_position"))
+        .select("_group", "_bin", "_before__n", "_position")
     )
+    if n_groups <= MOST_GROUPS:
+        wanted = F.broadcast(wanted)
+    counts = binned.join(wanted, ["_group", "_bin"]).groupBy("_group", "_bin", "_value").agg(
+        F.count(F.lit(1)).alias("_n"), F.max("_before__n").alias("_before__n"),
+        F.max("_position").alias("_position"))
     end = F.col("_before__n") + F.sum("_n").over(_so_far(_inside_bin(F.col("_value"))))
-    ranked = (
-        counts.join(wanted, ["_group", "_bin"])
-        .withColumn("_end", end)
-        .withColumn("_start", F.col("_end") - F.col("_n"))
-    )
+    ranked = counts.withColumn("_end", end).withColumn("_start", F.col("_end") - F.col("_n"))
 
     def value_at(index: Column) -> Column:
         return F.max(F.when((F.col("_start") <= index) & (index < F.col("_end")), F.col("_value")))
 
-    found = ranked.groupBy(*groups).agg(
+    found = ranked.groupBy("_group").agg(
         value_at(F.floor("_position")).alias("_lower"),
         value_at(F.ceil("_position")).alias("_upper"),
         F.max(F.col("_position") - F.floor("_position")).alias("_part"),
     )
     return found.select(
-        *groups,
+        *(F.col("_group").getField(g).alias(g) for g in groups),
         (F.col("_lower") + (F.col("_upper") - F.col("_lower")) * F.col("_part")).alias("quantile"),
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions.columns import hash_ordinal
 from cohortloom.operators import joins, ranking
+from cohortloom.operators.bounds import value_bounds, with_bin
 from cohortloom.operators.cohort import assign_split, stratified_split
 
 START = moment("2024-01-01 00:00:00")
@@ -95,13 +96,43 @@ def test_exact_quantile_equals_numpy(spark, share):
         assert found[g] == pytest.approx(np.quantile(values, share), rel=1e-12, abs=1e-15)
 
 
-def test_bins_never_decrease(spark):
+def test_bins_follow_the_order_of_values(spark):
     values = sorted({*(2.0**k for k in range(-60, 60)), *(-(2.0**k) for k in range(-5, 5)),
                      *(np.nextafter(2.0**k, 0) for k in range(-60, 60)), 0.0, 1e308, -1e308,
                      float("inf"), float("-inf")})
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
-    bins = [r[0] for r in df.orderBy("v").select(ranking.magnitude_bin("v")).collect()]
-    assert bins == sorted(bins)
+    for bins in (1, 2, 7, 64, 1024):
+        bounds = value_bounds(df, "v", bins)
+        assert len(bounds) < bins
+        got = [(r.v, r._bin) for r in with_bin(df, "v", bounds).orderBy("v").collect()]
+        assert got == [(v, sum(b <= v for b in bounds)) for v in values]
+    assert value_bounds(df.where("v is null"), "v") == []
+    nulls = with_bin(spark.createDataFrame([(None,)], "v double"), "v", [1.0, 2.0])
+    assert nulls.first()._bin == 0
+
+
+@pytest.mark.parametrize("scale", ["one day of seconds", "one octave", "hot value"])
+def test_no_bin_holds_more_than_a_small_share(spark, scale):
+    """Values that lie close together, or of which a third are the same."""
+    ids = spark.range(60_000).select(F.col("id"), F.xxhash64("id").alias("h"))
+    day = 1_700_000_000 + F.pmod("h", F.lit(86_400))
+    values = {"one day of seconds": day, "one octave": 1 + F.pmod("h", F.lit(10**9)) / 10**9,
+              "hot value": F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.pmod("h", F.lit(10**6)))}
+    df = ids.select(values[scale].cast("double").alias("v")).repartition(8)
+    bounds = value_bounds(df, "v", 256)
+    sizes = with_bin(df.distinct() if scale == "hot value" else df, "v", bounds).groupBy("_bin").count()
+    assert sizes.agg(F.max("count")).first()[0] < 60_000 * (1 / 256 + 0.004)
+    assert sizes.count() > 150
+    exact = ranking.exact_quantile(df.withColumn("g", F.lit(1)), ["g"], "v").first().quantile
+    assert exact == float(np.median([r.v for r in df.collect()]))
+
+
+def test_a_quantile_shuffles_only_the_wanted_bins(spark):
+    df = spark.range(20_000).select((F.col("id") % 3).alias("g"), F.xxhash64("id").cast("double").alias("v"))
+    plan = plan_of(ranking.exact_quantile(df, ["g"], "v"))
+    values = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "_value" in line]
+    # The values are dealt once, behind the join with the wanted bins, and counted before.
+    assert len(values) == 1
 
 
 def test_binned_rank_is_a_row_number(spark):
