@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cohortloom.catalog.base import query
 from cohortloom.catalog.sql import hours, rounded
 from cohortloom.operators import cohort as co
-from cohortloom.operators import joins, monitors, ranking
+from cohortloom.operators import asof, joins, monitors, ranking
 from cohortloom.operators.assertions import blocking_failures_in_latest_run
 from cohortloom.operators.features import build_feature_mart
 from cohortloom.plans import warehouse
@@ -189,6 +189,32 @@ def j15(t):
     return blocking_failures_in_latest_run(warehouse.stg_dq_results(t.dq_results))
 
 
+LAST_CLICK = """
+with clicks as (select subject_id, ecg_time, min(study_id) as study_id from user_points
+  group by subject_id, ecg_time)
+select d.event_id, d.subject_id, d.charttime, c.study_id, c.ecg_time
+from user_draws d asof left join clicks c on c.subject_id = d.subject_id and c.ecg_time {} d.charttime"""
+
+
+@query("j16_asof_last_point", LAST_CLICK.format("<="))
+def j16(t):
+    """Each measurement with the last point record of its subject up to then."""
+    return asof.asof_join(
+        t.user_draws.select("event_id", "subject_id", "charttime"),
+        t.user_points.select("subject_id", "study_id", "ecg_time"),
+        by="subject_id", at="charttime", point_at="ecg_time", ties=[F.col("study_id")])
+
+
+@query("j16_asof_next_point", LAST_CLICK.format(">"))
+def j16_next(t):
+    """Each measurement with the next point record after it."""
+    return asof.asof_join(
+        t.user_draws.select("event_id", "subject_id", "charttime"),
+        t.user_points.select("subject_id", "study_id", "ecg_time"), by="subject_id",
+        at="charttime", point_at="ecg_time", ties=[F.col("study_id")], direction="forward",
+        strict=True)
+
+
 @query("a14_match_coverage", f"""
 with m as ({STRICT})
 select coalesce(c.label::varchar, 'all') as cohort_label, count(*) as stays,

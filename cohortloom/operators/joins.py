@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.functions.columns import elapsed_hours, time_slice
+from cohortloom.functions.columns import elapsed_hours, epoch_seconds, time_slice
+from cohortloom.operators.asof import neighbours
 from cohortloom.operators.ranking import keep_first
 
 DAY = 86_400
@@ -161,23 +162,41 @@ def match_to_interval(
     hours: str = "hours_from_admit",
 ) -> DataFrame:
     """The point nearest to each stay's start, from ``grace_hours`` before it to
-    ``reach_hours`` after it and never past its end. Ties go to the lower id."""
-    # Of several points at the same moment only the lowest id can win, so heavy
-    # copies collapse on the map side before anything is joined.
+    ``reach_hours`` after it and never past its end. Ties go to the lower id.
+
+    The last point before and the first after a start are carried to it, which settles
+    how near the nearest is. Distances are rounded hours, so several moments may be as
+    near: they are whole seconds known by then, and are looked up by their second.
+    """
+    # Of several points at the same moment only the lowest id can win.
     distinct = keep_first(
         points.where(F.col(key).isNotNull() & F.col(at).isNotNull()), [key, at], [F.col(point_id)]
     )
-    grace, reach = grace_hours * 3600, reach_hours * 3600
-    pairs = sliced_join(
-        distinct, stays.select(key, stay_id, start, end), key, at,
-        time_slice(start, DAY, -grace),
-        time_slice(start, DAY, reach + 2),  # hours are rounded: 2 s of margin
-    )
-    near = pairs.where(
-        (F.col(at) >= F.col(start) - F.make_dt_interval(hours=F.lit(grace_hours)))
-        & (F.col(end).isNull() | (F.col(at) <= F.col(end)))
-    ).withColumn(hours, elapsed_hours(start, at, 3)).where(F.col(hours) <= reach_hours)
-    best = keep_first(near, [stay_id], [F.abs(hours).asc(), F.col(point_id).asc()])
+    marks = stays.where(F.col(key).isNotNull() & F.col(start).isNotNull()).select(
+        key, stay_id, start, end, F.least(start, F.coalesce(end, start)).alias("_anchor"))
+    near = neighbours(marks, points.select(key, at), by=key, at="_anchor", point_at=at)
+
+    def allowed(moment: Column) -> Column:
+        return (moment >= F.col(start) - F.make_dt_interval(hours=F.lit(grace_hours))) & (
+            F.col(end).isNull() | (moment <= F.col(end))) & (
+            elapsed_hours(F.col(start), moment, 3) <= reach_hours)
+
+    def distance(side: str) -> Column:
+        moment = F.col(f"{side}.{at}")
+        return F.when(allowed(moment), F.abs(elapsed_hours(F.col(start), moment, 3)))
+
+    least = near.select(key, stay_id, start, end, F.least(
+        distance("before"), distance("after")).alias("_least")).where(F.col("_least").isNotNull())
+    about = F.floor(F.col("_least") * 3600).cast("long")
+    whole = F.filter(F.sequence(about - 3, about + 3), lambda s: (s >= 0) & (
+        F.round(s / F.lit(3600.0), 3) == F.col("_least")))
+    apart = F.array_distinct(F.concat(whole, F.transform(whole, lambda s: -s)))
+    wanted = least.withColumn("_second", F.explode(F.transform(
+        apart, lambda s: epoch_seconds(start) + s)))
+    pairs = distinct.withColumn("_second", epoch_seconds(at)).join(wanted, [key, "_second"])
+    near = pairs.where(allowed(F.col(at))).withColumn(hours, elapsed_hours(start, at, 3))
+    best = keep_first(near.drop("_second", "_least"), [stay_id],
+                      [F.abs(hours).asc(), F.col(point_id).asc()])
     return best.drop(start, end)
 
 
@@ -196,21 +215,22 @@ def match_first_strict(
 
     A stay without an end never matches. Stay times missing from the cohort are
     looked up in ``stays``; records without a time column match on the subject
-    alone and are all kept.
+    alone and are all kept. The first record from the start on is carried back to
+    the stay; no pairs are formed.
     """
     if not {start, end} <= set(cohort.columns):
         times = stays.select(key, stay_id, start, end)
         cohort = cohort.drop(start, end).join(times, [key, stay_id], "left")
     if at not in records.columns:
         return cohort.join(records, key)
-    timed = records.where(F.col(at).isNotNull())
     closed = cohort.where(F.col(end) >= F.col(start))
-    reached = within_reach(timed, closed, key, at, start, end, DAY)
-    pairs = sliced_join(timed, reached, key, at, F.col("_low"), F.col("_high")).drop(
-        "_low", "_high"
-    )
-    during = pairs.where((F.col(at) >= F.col(start)) & (F.col(at) <= F.col(end)))
-    return keep_first(during, [stay_id], [F.col(at).asc()])
+    next_record = F.col("_after")
+    during = neighbours(closed, records, by=key, at=start, point_at=at, before="_before",
+                        after="_after").where(next_record[at] <= F.col(end))
+    matched = during.select(
+        key, *(next_record[c].alias(c) for c in records.columns if c != key),
+        *(c for c in closed.columns if c != key))
+    return keep_first(matched, [stay_id], [F.col(at).asc()])
 
 
 def match_coverage(cohort: DataFrame, matched: DataFrame, stay_id: str = "hadm_id",
