@@ -8,7 +8,7 @@ from cohortloom.catalog.base import query
 from cohortloom.catalog.sql import rounded
 from cohortloom.plans.jobs import bronze_ingest
 from cohortloom.session import fresh_path
-from cohortloom.sources import lake, manifest
+from cohortloom.sources import lake, manifest, quarantine
 from cohortloom.sources.schemas import TABLES
 
 ADMISSION_FILE_COLUMNS = (
@@ -56,6 +56,43 @@ def s1(t):
     )
 
 
+def spoiled(t):
+    """The admissions file with cells that do not parse in some rows."""
+    key = F.col("hadm_id")
+    rows = as_raw_file(_first_admissions(t), "admissions")
+    return rows.withColumns({
+        "subject_id": F.when(key % 13 == 0, F.concat(F.lit("S"), "subject_id")).otherwise(F.col("subject_id")),
+        "admittime": F.when(key % 17 == 0, F.lit("yesterday")).otherwise(F.col("admittime")),
+        "hospital_expire_flag": F.when(key % 19 == 0, F.lit("1.5")).otherwise(
+            F.col("hospital_expire_flag")),
+    })
+
+
+def checked_admissions(t):
+    path = f"{fresh_path(t.spark, 'csv')}/{TABLES['admissions'].file}"
+    spoiled(t).write.csv(path, header=True, escape='"')
+    return quarantine.read_checked(t.spark, path, TABLES["admissions"].schema)
+
+
+@query("s1_quarantine_reasons", """
+select 'subject_id' as "column", 'bigint' as kind, count(*) as cells
+  from first_admissions where hadm_id % 13 = 0 having count(*) > 0
+union all select 'admittime', 'timestamp', count(*) from first_admissions where hadm_id % 17 = 0 having count(*) > 0
+union all select 'hospital_expire_flag', 'int', count(*) from first_admissions where hadm_id % 19 = 0
+  having count(*) > 0""")
+def s1_reasons(t):
+    """Bad cells by column and kind, from a file with spoiled cells."""
+    return quarantine.reason_counts(quarantine.split_checked(checked_admissions(t), "checked")[1])
+
+
+@query("s1_quarantine_good_rows", f"""{FIRST_ADMISSIONS}
+where hadm_id % 13 <> 0 and hadm_id % 17 <> 0 and hadm_id % 19 <> 0""")
+def s1_good(t):
+    """The rows of the same file without a bad cell, as the plain reader gives them."""
+    good = quarantine.split_checked(checked_admissions(t), "checked")[0]
+    return good.select(*ADMISSION_FILE_COLUMNS)
+
+
 @query("s2_read_raw", """
 select itemid, trim(label) as label, fluid, category from (
   select p_partkey as itemid, '  ' || p_name || ' ' as label, p_brand as fluid,

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions.columns import elapsed_hours, epoch_seconds, time_slice
 from cohortloom.operators.asof import neighbours
+from cohortloom.operators.heavy import heavy_keys
 from cohortloom.operators.ranking import keep_first
 
 DAY = 86_400
@@ -27,18 +28,6 @@ def dictionary_join(events: DataFrame, items: DataFrame, key: str = "itemid") ->
     return events.join(items, key)
 
 
-def hot_keys(events: DataFrame, key: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows, and how many parts to cut each into.
-
-    At most rows / hot_rows keys qualify (200,000 for 10**12 rows), so the
-    frame is safe to broadcast whatever the key distribution is.
-    """
-    counts = events.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.where(F.col("_rows") > hot_rows).select(
-        key, F.ceil(F.col("_rows") / F.lit(hot_rows)).alias("_parts")
-    )
-
-
 def stay_join(
     events: DataFrame,
     stays: DataFrame,
@@ -51,9 +40,10 @@ def stay_join(
     An event's part comes from the hash of its ``spread_by`` columns, so equal
     events share a part; a stay is copied once per part of its key. The result
     carries ``_part`` and is partitioned by (key, _part): a later step keyed on
-    (key, spread_by) runs without another shuffle.
+    (key, spread_by) runs without another shuffle. The hot keys are found by a
+    job over the key column; the join itself reads the events once.
     """
-    hot = F.broadcast(hot_keys(events, key, hot_rows))
+    hot = F.broadcast(heavy_keys(events, key, hot_rows))
     parts = F.coalesce(F.col("_parts"), F.lit(1))
     cut = (
         events.join(hot, key, "left")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cohortloom.functions.columns import hash_ordinal
 from cohortloom.operators import joins, ranking
 from cohortloom.operators.bounds import value_bounds, with_bin
+from cohortloom.operators.heavy import heavy_keys
 from cohortloom.operators.cohort import assign_split, stratified_split
 
 START = moment("2024-01-01 00:00:00")
@@ -78,7 +79,21 @@ def test_hot_key_is_cut_and_nothing_is_lost(spark):
     cut = joins.stay_join(events, stays, "k", ["id"], hot_rows=100)
     assert cut.where("k = 7").select("_part").distinct().count() > 5
     assert sorted(cut.drop("_part").collect()) == sorted(events.join(stays, "k").collect())
-    assert joins.hot_keys(events, "k", 100).count() == 1
+    assert heavy_keys(events, "k", 100).count() == 1
+    # The list is a constant: the plan reads the events once.
+    assert plan_of(cut).count("Range (0, 3000") == 1
+
+
+def test_heavy_keys_are_found_with_few_counters(spark):
+    """Far more keys than counters; four keys hold a third of the rows."""
+    rows = spark.range(60_000).select(F.when(F.col("id") % 12 < 4, F.col("id") % 12).otherwise(
+        F.col("id") + 100).alias("k")).unionByName(spark.createDataFrame([(None,)] * 9000, "k long"))
+    for shuffled in (rows.repartition(8), rows.repartitionByRange(8, "k")):
+        found = {r.k: r["_parts"] for r in heavy_keys(shuffled, "k", 2000, counters=256).collect()}
+        assert found == {k: 3 for k in range(4)}
+    names = rows.where("k < 200").select(F.concat(F.lit("n"), "k").alias("a b"))
+    assert heavy_keys(names, "a b", 4999).count() == 4
+    assert heavy_keys(rows.limit(0), "k", 1).count() == 0
 
 
 @pytest.mark.parametrize("share", [0.0, 0.25, 0.5, 0.9, 1.0])
