@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortloom.catalog.base import query
 from cohortloom.catalog.sql import rounded
 from cohortloom.plans.jobs import bronze_ingest
 from cohortloom.session import fresh_path
-from cohortloom.sources import lake, manifest, quarantine
+from cohortloom.sources import lake, manifest, quarantine, snapshot
 from cohortloom.sources.schemas import TABLES
 
 ADMISSION_FILE_COLUMNS = (
@@ -236,6 +240,38 @@ def s14(t):
     })
 
 
+def event_history(t) -> DataFrame:
+    """Events as records of three deliveries: most first, late ones and corrections second,
+    outdated copies and withdrawals third."""
+    key = F.col("event_id")
+    events = t.load("events").select("event_id", "user_id", "event_type", "value", "ts")
+    first = events.where(key % 5 != 0).withColumns({"delivery": F.lit(1), "revision": F.lit(1)})
+    late = events.where(key % 5 == 0).withColumns({"delivery": F.lit(2), "revision": F.lit(1)})
+    mended = events.where(key % 7 == 0).withColumns({
+        "delivery": F.lit(2), "revision": F.lit(2), "value": F.col("value") + 1})
+    outdated = events.where(key % 11 == 0).withColumns({
+        "delivery": F.lit(3), "revision": F.lit(0), "value": F.lit(-1.0)})
+    withdrawn = events.where(key % 97 == 0).withColumns({
+        "delivery": F.lit(3), "revision": F.lit(3)})
+    parts = (first, late, mended, outdated, withdrawn)
+    return reduce(DataFrame.unionByName, parts).withColumn("withdrawn", F.col("revision") == 3)
+
+
+@query("s17_snapshot_upsert", """
+select event_id, user_id, event_type, value + (event_id % 7 = 0)::int as value, ts,
+  case when event_id % 7 = 0 then 2 else 1 end as revision
+from events where event_id % 97 <> 0""")
+def s17(t):
+    """Late, corrected, outdated and withdrawn records, merged delivery by delivery."""
+    history = lake.materialise(event_history(t), "history-source")
+    kept = T.StructType([f for f in history.schema if f.name not in ("delivery", "withdrawn")])
+    table = snapshot.SnapshotTable.create(
+        t.spark, fresh_path(t.spark, "snapshot"), kept, ["event_id"], ["revision"], buckets=16)
+    for delivery in (1, 2, 3):
+        table.upsert(history.where(F.col("delivery") == delivery), deleted="withdrawn")
+    return table.read()
+
+
 @query("s15_row_counts", """
 select 'orders' as table_name, count(*) as n_rows from orders
 union all select 'lineitem', count(*) from lineitem
