@@ -136,16 +136,23 @@ def branches_of(rows: DataFrame, rules: TreeRules, hot_rows: int) -> DataFrame:
     the map are small, however many urls it has.
     """
     sums = [F.sum(c).alias(c) for c in ("n", "labelled", "bad", "ends")]
-    children = rows.groupBy("host", "node", "segment").agg(
-        *sums, F.max("rate").alias("rate"), F.count(F.lit(1)).alias("rows"))
-    nodes = children.groupBy("host", "node").agg(
+    kinds = ["host", "node", "branch", "shape"]
+
+    def together(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        return df.groupBy(*keys).agg(*sums, F.max("rate").alias("rate"), F.sum("rows").alias("rows"))
+
+    children = together(rows.withColumn("rows", F.lit(1)), ["host", "node", "segment"])
+    # Segments of few urls are variable whatever their node is like, and are put together
+    # by their shape before the nodes meet their segments.
+    shaped = together(children.withColumns({
+        "shape": shape(F.col("segment")),
+        "branch": F.when(F.col("n") >= rules.support, literal(F.col("segment")))}), kinds)
+    nodes = shaped.groupBy("host", "node").agg(
         F.sum("n").alias("node_n"), F.count(F.lit(1)).alias("_children"))
-    sized = spread_join(children, nodes, ["host", "node"], ["node_n"], "_children", hot_rows)
-    kept = (F.col("n") >= rules.support) & (F.col("n") * rules.branching >= F.col("node_n"))
-    branches = sized.withColumn(
-        "branch", F.when(kept, literal(F.col("segment"))).otherwise(shape(F.col("segment")))
-    ).groupBy("host", "node", "branch").agg(
-        *sums, F.max("rate").alias("rate"), F.sum("rows").alias("rows"))
+    sized = spread_join(shaped, nodes, ["host", "node"], ["node_n"], "_children", hot_rows)
+    kept = F.col("branch").isNotNull() & (F.col("n") * rules.branching >= F.col("node_n"))
+    branches = together(sized.withColumn(
+        "branch", F.when(kept, F.col("branch")).otherwise(F.col("shape"))), ["host", "node", "branch"])
     order = Window.partitionBy("host", "node").orderBy(
         drawn_in(F.col("bad"), F.col("labelled"), F.col("rate"), rules.weight),
         F.col("ends") / F.col("n"), "branch")
