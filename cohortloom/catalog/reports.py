@@ -14,6 +14,7 @@ from cohortloom.operators.features import lab_features
 from cohortloom.operators.quality import Suite, persist_results
 from cohortloom.plans import warehouse
 from cohortloom.plans.suites import bronze_suite, gold_suites, silver_suites
+from cohortloom.rules import SURROGATE_NULL
 from cohortloom.session import fresh_path
 
 FEATURE_VALUES = ("feature_value", "mean_value")
@@ -81,23 +82,26 @@ def w8(t):
 
 
 @query("w9_fct_admission", f"""
-select c.hadm_id, c.subject_id, c.label, c.cohort_group, c.split, c.admitted_at, c.discharged_at,
-  c.length_of_stay_hours, {rounded('c.length_of_stay_hours / 24.0', 2)} as length_of_stay_days,
-  c.admit_year, c.admission_type, c.died_in_hospital,
-  coalesce(a.labs, 0) as distinct_labs_measured, coalesce(a.draws, 0) as total_lab_measurements,
-  coalesce(a.acute, 0) as acute_markers_measured, a.first_hours as first_lab_hours_from_admit,
-  a.hadm_id is not null as has_any_lab, c.etl_run_id
-from staged_cohort c left join (
-  select hadm_id, count(*) as labs, sum(measurement_count)::bigint as draws,
-    count(*) filter (where is_acute_marker) as acute, min(first_measurement_hours) as first_hours
-  from staged_features group by hadm_id) a on a.hadm_id = c.hadm_id""")
+with facts as (
+  select hadm_id, 0 as lab, 0 as draws, false as acute, null::double as hours from staged_cohort
+  union all
+  select hadm_id, 1, measurement_count, is_acute_marker, first_measurement_hours from panel),
+stays as (
+  select hadm_id, sum(lab)::bigint as distinct_labs_measured, sum(draws)::bigint as total_lab_measurements,
+    count_if(acute)::bigint as acute_markers_measured, min(hours) as first_lab_hours_from_admit,
+    bool_or(lab = 1) as has_any_lab
+  from facts group by hadm_id)
+select stays.*, subject_id, label, cohort_group, split, admitted_at, discharged_at, length_of_stay_hours,
+  {rounded('length_of_stay_hours / 24.0', 2)} as length_of_stay_days, admit_year, admission_type,
+  died_in_hospital, etl_run_id
+from stays join staged_cohort using (hadm_id)""")
 def w9(t):
     return warehouse.fct_admission(t.staged_cohort, t.staged_features)
 
 
 @query("w10_fct_lab_result", f"""
-select md5(coalesce(hadm_id::varchar, '_dbt_utils_surrogate_key_null_') || '-'
-    || coalesce(lab_itemid::varchar, '_dbt_utils_surrogate_key_null_')) as lab_result_key,
+select md5(coalesce(hadm_id::varchar, '{SURROGATE_NULL}') || '-'
+    || coalesce(lab_itemid::varchar, '{SURROGATE_NULL}')) as lab_result_key,
   hadm_id, subject_id, lab_itemid, lab_name, is_acute_marker, aggregation_rule,
   {rounded('feature_value', 6)} as feature_value, measurement_count, first_measurement_hours,
   label, cohort_group, split

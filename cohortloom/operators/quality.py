@@ -106,12 +106,12 @@ class Suite:
         return self._add(UniqueCheck(f"unique__{'_'.join(keys)}", severity, tuple(keys)))
 
     def values_in(self, column: str, allowed: Sequence, severity: str = "error") -> Suite:
-        outside = F.col(column).isNotNull() & ~F.col(column).isin(list(allowed))
+        outside = ~F.col(column).isin(list(allowed))
         return self._none_of(f"values_in__{column}", severity, outside,
                              f"values of {column} outside the allowed set")
 
     def between(self, column: str, low: float, high: float, severity: str = "error") -> Suite:
-        outside = F.col(column).isNotNull() & ~F.col(column).between(low, high)
+        outside = ~F.col(column).between(low, high)
         return self._none_of(f"between__{column}", severity, outside,
                              f"values of {column} outside [{low}, {high}]")
 

@@ -28,6 +28,7 @@ LEAD_ORDER = ("I", "II", "III", "aVR", "aVL", "aVF", "V1", "V2", "V3", "V4", "V5
 
 METRIC_NAMES = ("roc_auc", "pr_auc", "f1", "recall", "precision", "accuracy")
 
+# Fixed value: what stands for NULL in a surrogate key.
 SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"
 
 
