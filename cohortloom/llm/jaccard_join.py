@@ -23,17 +23,22 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from cohortloom.llm.common import spaced_words, text_columns, written
+from cohortloom.llm.common import pieces, text_columns, written
 from cohortloom.llm.components import connected
+from cohortloom.llm.spans import word_codes
 
 MIX = np.uint64(0xFF51AFD7ED558CCD)
 #: Words whose hashes a task remembers.
-MOST_WORDS = 1_000_000
+MOST_WORDS = 200_000
+#: Tasks whose counters meet in one, and levels of that: enough for 16 million tasks, of
+#: which the last few hundred strips go to the driver one after the other.
+FAN, LEVELS = 64, 4
 
 
 @dataclass(frozen=True)
@@ -79,12 +84,20 @@ class WordHashes(dict):
         self[word] = value
         return value
 
+    def of_texts(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        """The words' hashes of whole texts; those of ``word_codes``, none is remembered."""
+        return word_codes(texts)
 
-def ordered_shingles(words: list[bytes], size: int, hashes: WordHashes) -> np.ndarray:
-    """64-bit shingle hashes in the order of the text; none without words."""
-    if not words:
+
+def ordered_shingles(words: list[bytes] | np.ndarray, size: int, hashes: WordHashes | None = None
+                     ) -> np.ndarray:
+    """64-bit shingle hashes in the order of the text; none without words.
+
+    ``words`` are hashes of words already, or words to be hashed by ``hashes``."""
+    if not len(words):
         return np.empty(0, np.uint64)
-    codes = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    codes = words if hashes is None else np.fromiter(
+        map(hashes.__getitem__, words), np.uint64, len(words))
     width = min(size, len(codes))
     n = len(codes) - width + 1
     out = np.full(n, width, np.uint64)
@@ -94,43 +107,47 @@ def ordered_shingles(words: list[bytes], size: int, hashes: WordHashes) -> np.nd
     return out
 
 
-def shingles(words: list[bytes], size: int, hashes: WordHashes) -> np.ndarray:
+def shingles(codes: np.ndarray, size: int) -> np.ndarray:
     """Distinct 64-bit shingle hashes in ascending order; none without words."""
-    return np.unique(ordered_shingles(words, size, hashes))
+    return np.unique(ordered_shingles(codes, size))
 
 
 def token_counts(docs: DataFrame, text: str, rule: JaccardJoin) -> np.ndarray:
     """Document frequencies of all shingles, added up in a fixed number of counters.
 
     Every document is counted. Each task adds its own up first; the counters travel
-    in 64 strips that are summed one by one.
+    in 64 strips, which are summed in levels of ``FAN`` tasks at most.
     """
     bits, strips = rule.sketch_bits, 64
+    whole = T.StructType([T.StructField("strip", T.IntegerType()), T.StructField("task", T.LongType()),
+                          T.StructField("counts", T.ArrayType(T.LongType()))])
 
     def count(batches):
-        hashes, total = WordHashes(), np.zeros(1 << bits, np.int64)
+        total, task = np.zeros(1 << bits, np.int64), TaskContext.get().partitionId()
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                texts = batch.column(0).slice(start, 512).cast(pa.binary()).to_pylist()
-                sets = [shingles(spaced_words(t), rule.size, hashes) for t in texts]
-                at = (np.concatenate(sets) >> np.uint64(64 - bits)).astype(np.int64)
-                total += np.bincount(at, minlength=1 << bits)
+            for _, texts in pieces(batch, text):
+                for start in range(0, len(texts), 512):
+                    sets = [shingles(c, rule.size) for c in word_codes(texts[start:start + 512])]
+                    at = (np.concatenate(sets) >> np.uint64(64 - bits)).astype(np.int64)
+                    total += np.bincount(at, minlength=1 << bits)
         rows = total.reshape(strips, -1)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(range(strips), pa.int32()), pa.array(list(rows), pa.list_(pa.int64()))],
-            names=["strip", "counts"])
+            [pa.array(range(strips), pa.int32()), pa.array([task] * strips, pa.int64()),
+             pa.array(list(rows), pa.list_(pa.int64()))], names=whole.names)
 
     def add(strip: pa.Table) -> pa.Table:
         rows = strip.column("counts").combine_chunks()
         total = np.asarray(rows.values).reshape(len(rows), -1).sum(0)
         return pa.table({"strip": strip.column("strip").slice(0, 1),
+                         "task": pa.array([strip.column("task")[0].as_py() // FAN], pa.int64()),
                          "counts": pa.array([total], pa.list_(pa.int64()))})
 
-    schema = "strip int, counts array<bigint>"
-    summed = docs.select(text).mapInArrow(count, schema).groupBy("strip").applyInArrow(add, schema)
+    summed = docs.select(text).mapInArrow(count, whole)
+    for _ in range(LEVELS):
+        summed = summed.groupBy("strip", F.floor(F.col("task") / FAN)).applyInArrow(add, whole)
     out = np.zeros((strips, (1 << bits) // strips), np.int64)
     for row in summed.toLocalIterator():
-        out[row.strip] = row.counts
+        out[row.strip] += row.counts
     return out.reshape(-1)
 
 
@@ -176,12 +193,12 @@ def indexed(docs: DataFrame, text: str, carry: list[str], rule: JaccardJoin) ->
     shift = np.uint64(64 - rule.sketch_bits)
 
     def prepare():
-        hashes, often = WordHashes(), shared.value
+        often = shared.value
 
         def compute(texts):
             sizes, digests, keys, maps = [], [], [], []
-            for words in map(spaced_words, texts):
-                tokens = shingles(words, rule.size, hashes)
+            for codes in word_codes(texts):
+                tokens = shingles(codes, rule.size)
                 sizes.append(len(tokens))
                 digests.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
                                if len(tokens) else None)
@@ -237,9 +254,8 @@ def similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, rule: JaccardJo
         F.col("text_hash") == F.col("_hash"))).select("node", "_text")
 
     def prepare():
-        hashes = WordHashes()
-        return lambda own: [pa.array([shingles(spaced_words(t), rule.size, hashes).view(np.int64)
-                                      for t in own], pa.list_(pa.int64()))]
+        return lambda own: [pa.array([shingles(c, rule.size).view(np.int64)
+                                      for c in word_codes(own)], pa.list_(pa.int64()))]
 
     tokens = [T.StructField("tokens", T.ArrayType(T.LongType(), False))]
     sets = written(text_columns(texts, "_text", tokens, prepare, ["node"]).dropDuplicates(["node"]),

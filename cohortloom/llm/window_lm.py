@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.common import pieces, spaced_words, text_columns
+from cohortloom.llm.common import pieces, text_columns
 from cohortloom.llm.jaccard_join import WordHashes
 
 
@@ -48,8 +48,7 @@ class WindowModel:
         return [(4, self.codes, self.width), (self.width, self.classes), (self.classes,)]
 
 
-def word_buckets(words: list[bytes], hashes: WordHashes, model: WindowModel) -> np.ndarray:
-    codes = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+def word_buckets(codes: np.ndarray, model: WindowModel) -> np.ndarray:
     return (codes % np.uint64(model.buckets)).astype(np.int64)
 
 
@@ -59,8 +58,8 @@ def bucket_counts(docs: DataFrame, text: str, model: WindowModel) -> np.ndarray:
         hashes, total = WordHashes(), np.zeros(model.buckets, np.int64)
         for batch in batches:
             for _, texts in pieces(batch, text):
-                for value in texts:
-                    np.add.at(total, word_buckets(spaced_words(value), hashes, model), 1)
+                for codes in hashes.of_texts(texts):
+                    total += np.bincount(word_buckets(codes, model), minlength=model.buckets)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])],
                                          names=["bucket", "n"])
@@ -106,7 +105,7 @@ class Texts:
 
     def __init__(self, texts: list, hashes: WordHashes, vocabulary: Vocabulary,
                  model: WindowModel):
-        rows = [word_buckets(spaced_words(t), hashes, model) for t in texts]
+        rows = [word_buckets(codes, model) for codes in hashes.of_texts(texts)]
         self.sizes = np.array([len(r) for r in rows], np.int64)
         self.buckets = np.concatenate(rows) if rows else np.empty(0, np.int64)
         gaps = np.repeat(np.arange(1, len(rows) + 1) * model.reach, self.sizes)
