@@ -11,7 +11,9 @@ from cohortloom.catalog.base import query
 from cohortloom.catalog.sql import long_metrics, rounded
 from cohortloom.catalog.tables import ITEM_NUMBERS
 from cohortloom.operators import metrics, monitors, prep, signals
-from cohortloom.plans import training, warehouse
+from cohortloom.plans import training, training_job, warehouse
+from cohortloom.session import fresh_path
+from cohortloom.sources.lake import Lake, materialise
 
 LABS = tuple(ITEM_NUMBERS)
 NOW = "timestamp_ntz'2024-01-11 00:00:00'"
@@ -282,3 +284,16 @@ def p6(t):
 @query("p7_resample_signal")
 def p7(t):
     return signals.resample_signal(lead_signals(t), "signal", 24)
+
+
+@query("p8_training_job_history", "select * from model_metrics")
+def p8(t):
+    """Five recorded runs, the last of them twice: its metrics stand there once."""
+    home = Lake(fresh_path(t.spark, "lake"))
+    scored = materialise(t.scored, "scored")
+    for run in (0, 1, 2, 3, 4, 4):
+        rows = scored.where(F.col("run") == run).drop("run")
+        when = F.expr(f"timestamp_ntz'2024-01-01 00:00:00' + interval {run} day")
+        done = training_job.record_run(rows, home, f"run-{run}", n_features=12, trained_at=when)
+    history = training_job.metric_history(t.spark, home, done.metrics)
+    return history.withColumn("metric_value", F.round("metric_value", 6))

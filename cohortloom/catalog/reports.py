@@ -12,7 +12,7 @@ from cohortloom.catalog.sql import rounded
 from cohortloom.operators import assertions as check
 from cohortloom.operators.features import lab_features
 from cohortloom.operators.quality import Suite, persist_results
-from cohortloom.plans import warehouse
+from cohortloom.plans import contracts, warehouse
 from cohortloom.plans.suites import bronze_suite, gold_suites, silver_suites
 from cohortloom.rules import SURROGATE_NULL
 from cohortloom.session import fresh_path
@@ -562,3 +562,84 @@ where null_rate = 0""")
 def t15(t):
     every_column = t.user_coverage.withColumn("column_kind", F.lit("lab_feature"))
     return check.imputed_features(every_column)
+
+
+# -- declared contracts ---------------------------------------------------------
+
+def offenders(model: str, assertion: str, rows: str, severity: str = "error") -> str:
+    return f"""select '{model}' as model, '{assertion}' as assertion, '{severity}' as severity,
+  (select count(*) from ({rows})) as offenders"""
+
+
+def missing(model: str, source: str, *columns: str) -> list[str]:
+    return [offenders(model, f"not_null__{c}", f"select 1 from {source} where {c} is null") for c in columns]
+
+
+def repeated(model: str, source: str, *columns: str) -> str:
+    keys = ", ".join(columns)
+    return offenders(model, f"unique__{'_'.join(columns)}",
+                     f"select {keys} from {source} where {columns[0]} is not null group by {keys} having count(*) > 1")
+
+
+def foreign(model: str, source: str, column: str, parent: str, parent_source: str) -> str:
+    return offenders(model, f"relationships__{column}__{parent}", f"""select 1 from {source}
+  where {column} is not null and {column} not in (select {column} from {parent_source})""")
+
+
+TRAINING, COVERAGE = "mart_angina_training_features", "analytics_feature_coverage"
+CONTRACTS = [
+    *missing("dim_patient", "staged_cohort", "subject_id"),
+    repeated("dim_patient", "staged_cohort", "subject_id"),
+    offenders("dim_patient", "accepted_values__age_group", "select 1 where false"),
+    offenders("dim_patient", "accepted_values__has_angina", "select 1 from staged_cohort where label not in (0, 1)"),
+    *missing("fct_admission", "staged_cohort", "hadm_id", "subject_id"),
+    repeated("fct_admission", "staged_cohort", "hadm_id"),
+    foreign("fct_admission", "staged_cohort", "subject_id", "dim_patient", "staged_cohort"),
+    offenders("fct_admission", "accepted_range__length_of_stay_days",
+              "select 1 from staged_cohort where length_of_stay_hours <= -0.12"),
+    offenders("fct_admission", "accepted_range__total_lab_measurements",
+              "select hadm_id from staged_features group by 1 having sum(measurement_count) < 0"),
+    repeated("fct_lab_result", "panel", "hadm_id", "lab_itemid"),
+    offenders("fct_lab_result", "not_null__lab_result_key", "select 1 where false"),
+    offenders("fct_lab_result", "unique__lab_result_key",
+              "select hadm_id, lab_itemid from panel group by all having count(*) > 1"),
+    foreign("fct_lab_result", "panel", "hadm_id", "fct_admission", "staged_cohort"),
+    offenders("fct_lab_result", "aggregation_rule_matches_marker", """select distinct lab_name, is_acute_marker
+  from panel where aggregation_rule <> if(is_acute_marker, 'first', 'mean')"""),
+    *missing(TRAINING, "training_features", "hadm_id", "subject_id", "label", "split", "age"),
+    repeated(TRAINING, "training_features", "hadm_id"),
+    repeated(TRAINING, "training_features", "subject_id"),
+    offenders(TRAINING, "accepted_values__label", "select 1 from training_features where label not in (0, 1)"),
+    offenders(TRAINING, "accepted_values__split",
+              "select 1 from training_features where split not in ('train', 'validation', 'test')"),
+    offenders(TRAINING, "accepted_range__age", "select 1 from training_features where age < 18 or age > 120"),
+    offenders(TRAINING, "class_balance", """select 1 from (select count(*) as n, avg(label) as share
+  from training_features) where n < 100 or share < 0.2 or share > 0.8""", "warn"),
+    offenders(TRAINING, "every_split_has_both_classes", """select split from training_features group by split
+  having count(*) filter (where label = 1) = 0 or count(*) filter (where label = 0) = 0"""),
+    offenders(TRAINING, "no_subject_across_splits", """select subject_id from training_features
+  group by subject_id having count(distinct split) > 1"""),
+    offenders(COVERAGE, "accepted_values__completeness_tier", "select 1 where false"),
+    offenders(COVERAGE, "features_not_imputed",
+              "select 1 from staged_coverage where column_kind = 'lab_feature' and null_rate = 0"),
+    offenders("analytics_lab_profile_by_cohort", "not_null__lab_name", "select 1 from panel where lab_name is null"),
+]
+
+
+def published_models(t):
+    return {
+        "dim_patient": warehouse.dim_patient(t.staged_cohort),
+        "fct_admission": warehouse.fct_admission(t.staged_cohort, t.staged_features),
+        "fct_lab_result": warehouse.fct_lab_result(t.panel),
+        "analytics_lab_profile_by_cohort": warehouse.lab_profile(t.panel),
+        TRAINING: warehouse.training_features(warehouse.stg_feature_mart(
+            t.published(t.user_mart, "feature_mart"))),
+        COVERAGE: warehouse.feature_coverage(t.staged_coverage),
+    }
+
+
+@query("t16_declared_contracts", "select *, offenders = 0 as passed from ("
+       + "\nunion all ".join(CONTRACTS) + ")")
+def t16(t):
+    """Offending rows of every declared assertion on the published models."""
+    return contracts.outcomes(published_models(t))

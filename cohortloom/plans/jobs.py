@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -28,17 +29,18 @@ from cohortloom.operators.features import (
 from cohortloom.operators.quality import QualityError, Suite
 from cohortloom.plans.suites import bronze_suite, gold_suites, silver_suites
 from cohortloom.rules import RULES, StudyRules
+from cohortloom.sources.files import Files
 from cohortloom.sources.lake import (
     Lake,
     append_history,
-    materialise,
+    drop_lineage,
     path_missing,
     read_history,
     read_layer,
     read_optional,
     read_raw,
     with_lineage,
-    write_layer,
+    write_parquet,
 )
 from cohortloom.sources.schemas import TABLES
 from cohortloom.sources.warehouse_sink import (
@@ -52,16 +54,29 @@ from cohortloom.sources.warehouse_sink import (
 log = logging.getLogger("cohortloom.jobs")
 
 
-def gated_write(df: DataFrame, suite: Suite | None, lake: Lake, layer: str, table: str,
-                **options) -> int:
-    """Compute once, check the written copy, publish it only when it passes.
+def gated_write(df: DataFrame, suite: Suite | None, lake: Lake, layer: str, table: str, *,
+                partition_by: Sequence[str] = (), repartition: int | None = None,
+                run_id: str | None = None) -> int:
+    """Write once beside the table, check what was written, and publish it when it passes.
 
-    Results of the checks are persisted before a failure is raised.
+    Publishing renames folders: the table is away for the moment between two renames, and
+    never half there. A table that fails leaves the old one as it is. Results of the
+    checks are persisted before a failure is raised.
     """
-    ready = materialise(df, f"{layer}-{table}")
-    if suite is not None:
-        suite.run(ready, persist_to=lake.quality, run_id=options.get("run_id"))
-    return write_layer(ready, lake, layer, table, **options)
+    spark = df.sparkSession
+    stamped = with_lineage(df, f"{layer}.{table}", run_id)
+    files, staged = Files(spark, lake.root), f"_staging/{layer}-{table}-{uuid.uuid4().hex}"
+    path = f"{files.root}/{staged}"
+    rows = write_parquet(stamped, path, partition_by=partition_by, repartition=repartition)
+    try:
+        if suite is not None:
+            ready = drop_lineage(spark.read.schema(stamped.schema).parquet(path))
+            suite.run(ready, persist_to=lake.quality, run_id=run_id)
+    except QualityError:
+        files.delete(staged)
+        raise
+    files.replace(staged, f"{layer}/{table}")
+    return rows
 
 
 def bronze_ingest(spark: SparkSession, source: str, lake: Lake, *,

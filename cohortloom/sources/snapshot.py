@@ -18,14 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortloom.operators.ranking import keep_first
+from cohortloom.sources.files import CommitConflict, Files
 
+__all__ = ["CommitConflict", "Manifest", "SnapshotTable"]
 BUCKET = "_bucket"
 
 
-class CommitConflict(RuntimeError):
-    """Another writer has committed since the manifest was read."""
-
-
 @dataclass(frozen=True)
 class Manifest:
     """``folders`` has the folder of each bucket that has rows, below the table's root."""
@@ -42,46 +40,6 @@ class Manifest:
         return T.StructType.fromJson(self.schema)
 
 
-class Files:
-    """The few file operations a manifest needs, on any file system Spark can open."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.jvm = spark._jvm
-        self.root = root.rstrip("/")
-        self.system = self.path("").getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def path(self, name: str):
-        return self.jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
-
-    def names(self, folder: str) -> list[str]:
-        if not self.system.exists(self.path(folder)):
-            return []
-        return [x.getPath().getName() for x in self.system.listStatus(self.path(folder))]
-
-    def read(self, name: str) -> str:
-        stream = self.system.open(self.path(name))
-        try:
-            return bytes(stream.readAllBytes()).decode()
-        finally:
-            stream.close()
-
-    def create(self, name: str, text: str) -> None:
-        """Write a whole new file: first beside it, then renamed if the name is free."""
-        draft = f"{name}.{uuid.uuid4().hex}.draft"
-        stream = self.system.create(self.path(draft), False)
-        try:
-            stream.write(bytearray(text.encode()))
-        finally:
-            stream.close()
-        if self.system.exists(self.path(name)) or not self.system.rename(
-                self.path(draft), self.path(name)):
-            self.system.delete(self.path(draft), False)
-            raise CommitConflict(name)
-
-    def delete(self, folder: str) -> None:
-        self.system.delete(self.path(folder), True)
-
-
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
