@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from cohortloom.catalog.base import query
 from cohortloom.catalog.sql import rounded
+from cohortloom.operators import shred
 from cohortloom.plans.jobs import bronze_ingest
 from cohortloom.session import fresh_path
 from cohortloom.sources import lake, manifest, quarantine, snapshot
@@ -272,6 +273,33 @@ def s17(t):
     return table.read()
 
 
+def rich_properties(t) -> DataFrame:
+    """Events with more in their JSON: a name, numbers, a key of mixed kinds, an object; some
+    texts are cut off."""
+    key = F.col("event_id")
+    mixed = F.when(key % 2 == 0, F.lit('"even"')).otherwise((key % 3).cast("string"))
+    text = F.concat(
+        F.expr("substring(props, 1, length(props) - 1)"), F.lit(', "kind": "'), F.col("event_type"),
+        F.lit('", "seven": '), F.when(key % 7 > 0, (key % 7).cast("string")).otherwise(F.lit("null")),
+        F.lit(', "mixed": '), mixed, F.lit(', "where": {"user": '), F.col("user_id").cast("string"), F.lit("}}"))
+    return t.load("events").select("event_id", F.when(key % 211 == 0, F.lit("{cut")).otherwise(text).alias("props"))
+
+
+@query("s18_shredded_properties", """
+select event_id, case when event_id % 211 <> 0 then (props->>'k')::bigint end as k,
+  case when event_id % 211 <> 0 then event_type end as kind,
+  case when event_id % 211 <> 0 and event_id % 7 > 0 then event_id % 7 end as seven,
+  case when event_id % 211 <> 0 then '{' || case when event_id % 7 = 0 then '"seven":null,' else '' end
+    || '"mixed":' || case when event_id % 2 = 0 then '"even"' else (event_id % 3)::varchar end
+    || ',"where":{"user":' || user_id || '}}' end as rest,
+  case when event_id % 211 = 0 then '{cut' end as malformed
+from events""")
+def s18(t):
+    """Columns for the keys of one kind, found in the data; all else in the rest."""
+    events = rich_properties(t)
+    return shred.shred(events, "props", shred.discover(events, "props"))
+
+
 @query("s15_row_counts", """
 select 'orders' as table_name, count(*) as n_rows from orders
 union all select 'lineitem', count(*) from lineitem

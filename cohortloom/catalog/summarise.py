@@ -8,7 +8,7 @@ from cohortloom.catalog.base import query
 from cohortloom.catalog.sql import MART_COLUMNS, ordinal, rounded, split_of
 from cohortloom.functions.columns import conditional_count, conditional_max, sample_sd
 from cohortloom.operators import cohort as co
-from cohortloom.operators import features, monitors, ranking
+from cohortloom.operators import features, monitors, ranking, rolling
 from cohortloom.plans import warehouse
 
 MEASURED = """hadm_id, itemid, label, is_acute_marker, first_value, max_value, min_value,
@@ -257,3 +257,19 @@ def n9(t):
         "hadm_id", "itemid", "charttime", "valuenum"
     )
     return ranking.keep_first(rows, ["hadm_id", "itemid", "charttime"])
+
+
+@query("n10_rolling_measures", f"""
+select event_id, hadm_id, n_in_span, {rounded('mean', 6)} as mean_in_span,
+  {rounded('if(isnan(slope), null, slope)', 6)} as slope_in_span
+from (select event_id, hadm_id, count(valuenum) over w as n_in_span, avg(valuenum) over w as mean,
+    regr_slope(valuenum, hours_from_admit) over w as slope
+  from user_labs window w as (partition by hadm_id order by charttime
+    range between interval 48 hours preceding and current row))""")
+def n10(t):
+    """Number, mean and slope of the last 48 hours of a stay, at each measurement."""
+    rows = t.user_labs.select("event_id", "hadm_id", "charttime", "valuenum", "hours_from_admit")
+    found = rolling.rolling(rows, rolling.trend("valuenum", "hours_from_admit"), by="hadm_id",
+                            at="charttime", seconds=48 * 3600)
+    return found.select("event_id", "hadm_id", "n_in_span", F.round("mean_in_span", 6).alias("mean_in_span"),
+                        F.round("slope_in_span", 6).alias("slope_in_span"))
