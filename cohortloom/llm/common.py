@@ -88,6 +88,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def set_aside(df: DataFrame, names: Sequence[str]) -> tuple[DataFrame, Callable[[str], str]]:
+    """``df`` with its columns of these names renamed to in_<name>, and the new name of any
+    column. An in_<name> that is taken too gets another in_ before it."""
+    new = {}
+    for name in set(names) & set(df.columns):
+        new[name] = f"in_{name}"
+        while new[name] in df.columns:
+            new[name] = f"in_{new[name]}"
+    return df.withColumnsRenamed(new), lambda name: new.get(name, name)
+
+
 def digest_bin(column: Column | str, bins: int) -> Column:
     """A bin from 0 to ``bins`` - 1 by the MD5 of a value's text; null counts as ''."""
     text = F.coalesce(F.col(column).cast("string") if isinstance(column, str)

@@ -131,8 +131,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", siz
     """Per row of ``docs``: the carried columns, n_words, spans of hit words, item ids.
 
     Null and empty texts have no words. Repeated rows are scanned each. Without
-    benchmark windows nothing is hit; an empty table gives no rows. Other columns
-    are not read.
+    benchmark windows nothing is hit; an empty table gives no rows. A very long text
+    is scanned whole by one task. Other columns are not read, whatever their names.
     """
     names = [f"in_{i}" for i in range(len(carry))]
     frame = docs.select(*(F.col(c).alias(n) for c, n in zip(carry, names, strict=True)),

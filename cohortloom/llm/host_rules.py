@@ -120,8 +120,8 @@ def judge_hosts(docs: DataFrame, rules: HostRules | None = None, *, host: str =
     """Per row of ``docs``: the carried columns, host, base counts, verdicts, kept.
 
     Null and empty texts fail (no words). Repeated rows are judged each. An empty
-    table gives no rows. Other columns, whatever their names, are not read. The
-    counts are stored once: the hosts and the documents are both taken from there.
+    table gives no rows. Other columns, whatever their names, are not read. A very long
+    text is judged whole in its row, as arrays of its words and windows. The counts are stored once: the hosts and the documents are both taken from there.
     """
     rules = rules or HostRules()
     narrow = docs.select(*(F.col(c).alias(f"in_{c}") for c in carry),

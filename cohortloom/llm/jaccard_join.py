@@ -354,8 +354,9 @@ def link_documents(docs: DataFrame, rule: JaccardJoin | None = None, *, ident: s
     null or repeated, components share it. component differs between any two. A null, empty
     or blank text has no shingles, links with nothing, keeps its own id and is in no
     component. Repeated
-    rows and texts with equal sets are one node. An empty table gives no rows. Other
-    columns are not read. Shingles are compared by 64-bit hashes.
+    rows and texts with equal sets are one node. An empty table gives no rows. A very long
+    text's shingles are made whole by one task. Other columns are not read. The links
+    themselves are not returned, only what they connect. Shingles are compared by 64-bit hashes.
     """
     rule = rule or JaccardJoin()
     spark = docs.sparkSession

@@ -331,8 +331,9 @@ def scan_licenses(docs: DataFrame, *, ident: str = "doc_id", text: str = "text",
 
     Words are counted from 0; detections are the kept ones as (label, start, end).
     A null or empty text has no words and nothing is found. Repeated rows are scanned
-    each; an empty table gives no rows; other columns are not read. One pass over the
-    texts, no shuffle.
+    each; an empty table gives no rows; other columns are not read, whatever their
+    names. A very long text is scanned whole by one task. One pass over the texts, no
+    shuffle.
     """
     frame = docs.select(docs[ident].alias("ident"), docs[text].alias("_text"))
 

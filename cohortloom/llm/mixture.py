@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortloom.llm.common import GAP, digest_bin, running_sum, size_class, written
+from cohortloom.llm.common import digest_bin, GAP, running_sum, set_aside, size_class, written
 
 WEIGHTS = (5, 2, 1)
 LIMIT = 3
@@ -82,8 +82,11 @@ def systematic_copies(docs: DataFrame, *, size: str, source: str = "source",
     A source whose documents have no words has target 0 and no copies. Rows that
     agree in size and ``order`` are interchangeable. An empty table gives no rows.
     No document gets more copies than ``limit``, since its expected copies are not
-    above it. A null source is a source of its own.
+    above it. A null source is a source of its own. Columns of ``docs`` with a name of
+    the result come back as in_<name>.
     """
+    docs, named = set_aside(docs, ("source_size", "target", "copies"))
+    size, source, order = named(size), named(source), [named(c) for c in order]
     sized = docs.withColumns({"_source": source_key(source), "_size": F.col(size)})
     targets = written(source_targets(sized, weights, limit), "source-targets")
     if targets.count() <= MOST_SOURCES:

@@ -200,7 +200,8 @@ def remove_repeats(docs: DataFrame, *, ident: str = "doc_id", text: str = "text"
     [start, end, words] with places in the bytes of the original text. A run of
     fewer than ``min_words`` words and ``min_bytes`` bytes stays. A text that goes
     altogether is left as ''; a null one stays null. Null and empty texts have no
-    units. Of equal rows the first stored one keeps its units. An empty table gives
+    units. A very long text is cut whole by one task, and its units and windows are
+    rows like all others. Of equal rows the first stored one keeps its units. An empty table gives
     no rows. Units and windows are compared by 64-bit hashes.
     """
     found = found_repeats(docs, ident, text).select(

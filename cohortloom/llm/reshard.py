@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.common import digest_bin, running_sum, size_class
+from cohortloom.llm.common import digest_bin, running_sum, set_aside, size_class
 
 #: Rows of one size class in a shard, and of one new shard, are spread over so many bins.
 BINS, SLOT_BINS = 256, 2048
@@ -96,7 +96,12 @@ def reshard(rows: DataFrame, *, size: str, old: str, capacities: Sequence[int] |
     block its middle byte is in, so a shard misses its capacity by half a row at
     each end of its blocks. Rows that agree in size and ``order`` are
     interchangeable; repeated rows are placed each. An empty table gives no rows.
+    Columns of ``rows`` named shard or slot come back as in_shard and in_slot. Equal
+    texts are not kept together: each is placed by its own middle byte. Only sizes are
+    read, so the length of a text does not matter.
     """
+    rows, named = set_aside(rows, ("shard", "slot"))
+    size, old, order = named(size), named(old), [named(c) for c in order]
     spark = rows.sparkSession
     sizes = {r[0]: r[1] for r in rows.groupBy(old).agg(F.sum(size)).collect()}
     n_old = old_shards or max(sizes, default=-1) + 1

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.common import text_columns, written
+from cohortloom.llm.common import size_class, text_columns, written
 from cohortloom.llm.tokens import encoder
 
 #: Distinct units a task adds up before it passes them on.
@@ -58,16 +58,25 @@ def count_tokens(docs: DataFrame, path: str, *, ident: str = "doc_id", text: str
     """Per row of ``docs``: the id, n_bytes, n_tokens and whether these are over ``limit``.
 
     ``path`` is a tokenizer file. At most ``most_common`` units of at most
-    ``longest`` characters are sent to the tasks, a few dozen MB there. A null or
-    empty text has no tokens. Repeated rows are counted each. An empty table gives
-    no rows. Other columns are not read.
+    ``longest`` characters are sent to the tasks, a few dozen MB there: those from the
+    class of counts on above which there are no more. A null or empty text has no
+    tokens. Repeated rows are counted each. An empty table gives no rows. A very long
+    text is cut into its units in one task, which holds its distinct units. Other
+    columns are not read.
     """
     frame = docs.select(
         F.col(ident).alias("ident"), F.col(text).alias("_text"),
         F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"))
     pieces = written(unit_pieces(frame, "_text", path), "unit-pieces")
-    common = pieces.where(F.char_length("unit") <= longest).orderBy(
-        F.desc("times"), "unit").limit(most_common)
+    short = pieces.where(F.char_length("unit") <= longest).withColumn("_class", size_class("times"))
+    lowest, above = None, 0
+    classes = short.groupBy("_class").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("_class"))
+    for row in classes.collect():  # About 90 for each digit of the largest count.
+        above += row.n
+        if above > most_common:
+            break
+        lowest = row["_class"]
+    common = short.where(F.lit(False) if lowest is None else F.col("_class") >= lowest)
     table = {r.unit: r.pieces for r in common.select("unit", "pieces").toLocalIterator()}
     shared = docs.sparkSession.sparkContext.broadcast(table)
 

@@ -73,7 +73,9 @@ def write_store(docs: DataFrame, folder: str, path: str, *, ident: str = "doc_id
     """Encode every row's whole text and write the store, in ascending order of ids.
 
     A null text is an empty one: its only token is the end id. Null ids come first;
-    repeated rows are stored each. Tasks take ranges of ids, so that blocks are in
+    repeated rows are stored each. An empty table gives a store without blocks. A very
+    long text is encoded whole by one task and is one frame. Other columns are not read.
+    Without enough texts to train on the dictionary is empty, which its hash shows. Tasks take ranges of ids, so that blocks are in
     order and no document is compressed with its neighbours.
     """
     spark = docs.sparkSession

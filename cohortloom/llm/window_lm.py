@@ -226,7 +226,10 @@ def score_documents(docs: DataFrame, model: WindowModel | None = None, *, ident:
 
     Trains on ``docs`` unless ``fitted`` is given. A null, empty or blank text has no
     tokens, log_likelihood 0 and no mean. Repeated rows are scored each, and count
-    each in training. An empty table gives no rows. Other columns are not read.
+    each in training. An empty table gives no rows. Other columns are not read. A very
+    long text is trained on and scored whole by one task. Which places are masked and
+    how nets are averaged follow the partitions of ``docs``, so scores of another
+    layout differ slightly.
     """
     model = model or WindowModel()
     frame = docs.select(F.col(ident).alias("ident"), F.col(text).alias("_text"))

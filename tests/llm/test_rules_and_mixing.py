@@ -221,3 +221,16 @@ def test_rows_of_op1_come_from_files_with_their_texts(spark, odd_rows, tmp_path)
     for r in got:
         slots[r.shard].append(r.slot)
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_columns_of_the_result_are_set_aside(spark):
+    rows = spark.createDataFrame([(i, 5, i % 2, 99, 7) for i in range(8)],
+                                 "doc_id long, shard long, slot int, in_slot int, size int")
+    got = reshard(rows, size="shard", old="slot", capacities=2).collect()
+    assert {(r.in_shard, r.in_in_slot, r.in_slot, r.size) for r in got} == {(5, 0, 99, 7), (5, 1, 99, 7)}
+    assert {r.shard for r in got} == {0, 1}
+    docs = spark.createDataFrame([(i, 5, "a", 9.0) for i in range(4)],
+                                 "doc_id long, copies long, source string, target double")
+    mixed = systematic_copies(docs, size="copies").collect()
+    assert all((r.in_copies, r.in_target) == (5, 9.0) for r in mixed)
+    assert sum(r.copies * r.in_copies for r in mixed) == 20
