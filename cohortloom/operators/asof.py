@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.operators.bounds import RANGE_BINS, value_bounds, with_bin
+from cohortloom.operators.bounds import RANGE_BINS, value_bounds, with_bin_by_steps
 from cohortloom.operators.ranking import keep_first
 
 FIRST, LAST = Window.unboundedPreceding, Window.unboundedFollowing
@@ -45,7 +45,7 @@ def neighbours(marks: DataFrame, points: DataFrame, *, by: str, at: str, point_a
     united = left.where(placeable).unionByName(right, allowMissingColumns=True)
     moments = marks.select(micros(at).alias("_at")).unionByName(
         points.select(micros(point_at).alias("_at")))
-    binned = with_bin(united, "_at", value_bounds(moments, "_at", bins))
+    binned = with_bin_by_steps(united, "_at", value_bounds(moments, "_at", bins))
 
     cell = Window.partitionBy("_by", "_bin")
     points_first = F.col("_mark").isNotNull()

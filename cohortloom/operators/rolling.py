@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.operators.asof import micros
-from cohortloom.operators.bounds import RANGE_BINS, value_bounds, with_bin
+from cohortloom.operators.bounds import RANGE_BINS, value_bounds, with_bin_by_steps
 
 
 def rolling(df: DataFrame, measures: Mapping[str, Column], *, by: str, at: str, seconds: int,
@@ -30,7 +30,7 @@ def rolling(df: DataFrame, measures: Mapping[str, Column], *, by: str, at: str,
     placeable = F.col(by).isNotNull() & F.col(at).isNotNull()
     rows = df.where(placeable).withColumns({"_at": micros(at), "_until": micros(at) + F.lit(span)})
     bounds = value_bounds(rows, "_at", bins)
-    rows = with_bin(with_bin(rows, "_at", bounds, "_home"), "_until", bounds, "_last")
+    rows = with_bin_by_steps(with_bin_by_steps(rows, "_at", bounds, "_home"), "_until", bounds, "_last")
     copies = rows.withColumn("_bin", F.explode(F.sequence("_home", "_last")))
     span_before = Window.partitionBy(by, "_bin").orderBy("_at").rangeBetween(-span, 0)
     measured = copies.withColumns({name: m.over(span_before) for name, m in measures.items()})
