@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.operators.features import numeric_features
@@ -24,6 +24,10 @@ SEED = 42
 
 #: The deepest trees that MLlib grows.
 DEEPEST = 30
+#: Nodes of a forest that the driver may have to hold at once, and rows that a leaf has at least.
+MOST_NODES, LEAF_ROWS = 1_000_000, 3
+#: Between the seeds of a forest's parts; MLlib adds the number of the partition to them.
+SEED_STEP = 1_000_003
 
 
 def classifiers(train_rows: int, seed: int = SEED, trees: int = 300, rounds: int = 100,
@@ -38,7 +42,7 @@ def classifiers(train_rows: int, seed: int = SEED, trees: int = 300, rounds: int
             maxIter=2000, regParam=1.0 / max(train_rows, 1), standardization=False, **common
         ),
         "random_forest": RandomForestClassifier(
-            numTrees=trees, minInstancesPerNode=3, maxDepth=depth, seed=seed, **common
+            numTrees=trees, minInstancesPerNode=LEAF_ROWS, maxDepth=depth, seed=seed, **common
         ),
         "gradient_boosting": GBTClassifier(
             maxIter=rounds, maxDepth=3, stepSize=0.1, seed=seed, **common
@@ -66,6 +70,41 @@ def prepare(df: DataFrame, features: Sequence[str]) -> DataFrame:
     )
 
 
+def forest_parts(trees: int, train_rows: int) -> list[int]:
+    """Numbers of trees that are grown one part after the other, ``trees`` in all.
+
+    A tree has at most two nodes for each leaf, so no part has more than ``MOST_NODES``
+    unless one tree has. A forest below that is one part.
+    """
+    at_once = max(1, MOST_NODES // max(1, 2 * train_rows // LEAF_ROWS))
+    return [min(at_once, trees - done) for done in range(0, trees, at_once)]
+
+
+def second_class() -> Column:
+    return F.get(vector_to_array("probability"), F.lit(1))
+
+
+def forest_scores(forest: RandomForestClassifier, train: DataFrame, rows: DataFrame,
+                  train_rows: int) -> DataFrame:
+    """``rows`` with the forest's ``score``, the mean over all its trees.
+
+    Trees grow with the training rows and MLlib keeps a model at the driver. A large
+    forest is grown in parts: each adds its trees' votes to the stored rows and is let
+    go, so that the driver holds one part however many rows there are.
+    """
+    trees, seed = forest.getNumTrees(), forest.getSeed()
+    parts = forest_parts(trees, train_rows)
+    if len(parts) == 1:
+        return forest.fit(train).transform(rows).withColumn("score", second_class())
+    voted = rows.withColumn("_votes", F.lit(0.0))
+    for i, n in enumerate(parts):
+        part = forest.copy({forest.numTrees: n, forest.seed: seed + i * SEED_STEP}).fit(train)
+        votes = (F.col("_votes") + n * second_class()).alias("_votes")
+        voted = materialise(part.transform(voted).select(*rows.columns, votes), "forest-votes")
+        del part
+    return voted.withColumn("score", F.col("_votes") / trees)
+
+
 def train_classifiers(df: DataFrame, features: Sequence[str] | None = None, *,
                       seed: int = SEED, trees: int = 300, rounds: int = 100,
                       depth: int = DEEPEST) -> DataFrame:
@@ -73,7 +112,7 @@ def train_classifiers(df: DataFrame, features: Sequence[str] | None = None, *,
 
     The stored split is used as it is. The prepared rows are written once; every
     model fits on a cache over that table, which is rebuilt from it when an
-    executor is lost.
+    executor is lost. A forest of more than ``MOST_NODES`` is grown in parts.
     """
     names = list(features or feature_names(df))
     train_rows = df.where("split = 'train'").agg(
@@ -85,11 +124,13 @@ def train_classifiers(df: DataFrame, features: Sequence[str] | None = None, *,
     held_out = rows.where("split in ('validation', 'test')")
     scored = None
     for name, estimator in classifiers(train_rows[0], seed, trees, rounds, depth).items():
-        fitted = estimator.fit(train)
-        one = fitted.transform(held_out).select(
+        if name == "random_forest":
+            judged = forest_scores(estimator, train, held_out, train_rows[0])
+        else:
+            judged = estimator.fit(train).transform(held_out).withColumn("score", second_class())
+        one = judged.select(
             F.lit(name).alias("model_name"), "split", "subject_id",
-            F.col("label").cast("int").alias("label"),
-            F.get(vector_to_array("probability"), F.lit(1)).alias("score"),
+            F.col("label").cast("int").alias("label"), "score",
         )
         scored = one if scored is None else scored.unionByName(one)
     train.unpersist()
