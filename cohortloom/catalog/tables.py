@@ -198,6 +198,10 @@ class Tables:
 
     @cached_property
     def user_stays(self) -> DataFrame:
+        return materialise(self.user_stays_plan, "user-stays")
+
+    @cached_property
+    def user_stays_plan(self) -> DataFrame:
         opened = self.load("events").where("event_type = 'signup'").select(
             F.col("user_id").alias("subject_id"), F.col("event_id").alias("hadm_id"),
             F.col("ts").alias("admittime"),
