@@ -105,8 +105,9 @@ def op7_window_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_systematic_mix(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "documents").select(
-        "doc_id", "source", word_count("text").alias("size"))
+    # Sizes are read four times; the texts, once.
+    rows = written(table(spark, folder, "documents").select(
+        "doc_id", "source", word_count("text").alias("size")), "mix-sizes")
     drawn = systematic_copies(rows, size="size")
     return drawn.select("doc_id", "size", "source_size", "target",
                         (F.col("copies") * F.col("size")).alias("taken"))
