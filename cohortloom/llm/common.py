@@ -14,6 +14,8 @@ from cohortloom.session import fresh_path
 
 #: Characters between words, for regular expressions of the JVM and of DuckDB.
 GAP = r"\x20\x09-\x0D"
+#: Spark's setting to remove the shuffle files of a finished query.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Rows of one Arrow batch are handled in pieces of about so many bytes of text.
 PIECE_BYTES = 8 << 20
 
@@ -82,9 +84,18 @@ def text_columns(df: DataFrame, column: str, fields: Sequence[T.StructField],
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Store once in the shared folder and go on from the stored table."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    """Store once in the shared folder and go on from the stored table.
+
+    The shuffles of the write are removed once it is done: nothing reads them again, and
+    until the driver happens to collect them they would pile up on the executors' disks.
+    """
+    path, conf = fresh_path(df.sparkSession, name), df.sparkSession.conf
+    before = conf.get(DROP_SHUFFLES)
+    conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(DROP_SHUFFLES, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
