@@ -2,8 +2,8 @@
 
 A line is cut into units at the ends of sentences. The digests of normalised units are
 grouped over all documents; the earliest occurrence stays. A passage that starts or ends
-inside a sentence is met by its windows of words: winnowed anchors, of which every window
-holds one, tell where a window may be repeated, and only there all windows are grouped.
+inside a sentence is met by its windows of words: equal windows have equal least anchors, so
+only the windows whose own least anchor is repeated are grouped.
 Words of repeated units and windows go in runs; a run of a few words and bytes stays, so
 that single short sentences which many documents share do.
 """
@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortloom.llm.common import text_columns, written
-from cohortloom.llm.jaccard_join import WordHashes, ordered_shingles
+from cohortloom.llm.jaccard_join import ordered_shingles
+from cohortloom.llm.spans import word_codes
 
 #: Ends a unit: a line break, or white space after the end of a sentence.
 UNIT_END = re.compile(rb"\n|(?<=[.!?])[ \t\r]+")
@@ -50,20 +51,33 @@ def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(blank[:-1] & ~blank[1:]), np.flatnonzero(~blank[:-1] & blank[1:])
 
 
-def anchors_of(words: list[bytes], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+def least_anchors(each: np.ndarray) -> np.ndarray:
+    """Per window the first word of its least anchor, by the hashes of all anchors of a text."""
+    if len(each) < WINDOW - ANCHOR + 1:
+        return np.empty(0, np.int64)
+    own = np.lib.stride_tricks.sliding_window_view(each, WINDOW - ANCHOR + 1)
+    return own.argmin(1) + np.arange(len(own))
+
+
+def anchors_of(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(first word, hash) of the least anchor of every window; equal windows have equal ones."""
-    if len(words) < WINDOW:
+    if len(codes) < WINDOW:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    each = ordered_shingles(words, ANCHOR, hashes)
-    own = np.lib.stride_tricks.sliding_window_view(each, WINDOW - ANCHOR + 1)
-    at = np.unique(own.argmin(1) + np.arange(len(own)))
+    each = ordered_shingles(codes, ANCHOR)
+    at = np.unique(least_anchors(each))
     return at, each[at]
 
 
+def windows_at(codes: np.ndarray, anchors: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, hash) of the windows whose least anchor is one of those."""
+    if len(codes) < WINDOW:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    at = np.flatnonzero(np.isin(least_anchors(ordered_shingles(codes, ANCHOR)), anchors))
+    return at, ordered_shingles(codes, WINDOW)[at]
+
+
 def unit_table(docs: DataFrame, carry: list[str], text: str) -> DataFrame:
     def prepare():
-        hashes = WordHashes()
-
         def lists(rows, kind):
             offsets = pa.array(np.cumsum([0, *map(len, rows)]), pa.int32())
             flat = np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64)
@@ -72,7 +86,7 @@ def unit_table(docs: DataFrame, carry: list[str], text: str) -> DataFrame:
         def compute(texts):
             units = [np.array([u[3] for u in units_of(t or b"")], np.uint64).view(np.int64)
                      for t in texts]
-            found = [anchors_of((t or b"").lower().split(), hashes) for t in texts]
+            found = [anchors_of(c) for c in word_codes(texts)]
             return [lists(units, pa.int64()), lists([f[0] for f in found], pa.int32()),
                     lists([f[1].view(np.int64) for f in found], pa.int64())]
         return compute
@@ -120,12 +134,12 @@ def shared_digests(places: DataFrame) -> DataFrame:
 
 def repeats_of(places: DataFrame) -> DataFrame:
     """All occurrences but the first of every digest: digest, row, place, _row, _place of the first."""
-    return places.join(shared_digests(places), "digest").where(
+    return places.join(written(shared_digests(places), "passage-shared"), "digest").where(
         (F.col("row") != F.col("_row")) | (F.col("place") != F.col("_place")))
 
 
 def window_table(rows: DataFrame) -> DataFrame:
-    """ident, row, place, digest of every window that holds a repeated anchor."""
+    """ident, row, place, digest of every window whose own least anchor is repeated."""
     places = rows.select("row", F.explode(F.arrays_zip("anchor_places", "anchors")).alias("_a")
                          ).select("row", F.col("_a.anchor_places").alias("place"),
                                   F.col("_a.anchors").alias("digest"))
@@ -139,18 +153,14 @@ def window_table(rows: DataFrame) -> DataFrame:
                            T.StructField("digest", T.LongType())])
 
     def run(batches):
-        hashes = WordHashes()
         for batch in batches:
             for i in range(batch.num_rows):
-                own = ordered_shingles(batch.column(2)[i].cast(pa.binary()).as_py().lower().split(),
-                                       WINDOW, hashes)
-                near = np.array(batch.column(3)[i].as_py(), np.int64)[:, None] - np.arange(
-                    WINDOW - ANCHOR + 1)
-                at = np.unique(near[(near >= 0) & (near < len(own))])
+                codes, = word_codes([batch.column(2)[i].cast(pa.binary()).as_py()])
+                at, own = windows_at(codes, batch.column(3)[i].as_py())
                 same = pa.array(np.full(len(at), i))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(same), batch.column(1).take(same),
-                     pa.array(at.astype(np.int32)), pa.array(own[at].view(np.int64))],
+                     pa.array(at.astype(np.int32)), pa.array(own.view(np.int64))],
                     names=schema.names)
 
     return texts.mapInArrow(run, schema)
@@ -169,6 +179,7 @@ def found_repeats(docs: DataFrame, ident: str, text: str) -> DataFrame:
         F.col("place"), F.col("_place") + WINDOW)).otherwise(F.col("place"))
     windows = repeats_of(written(window_table(rows), "passage-windows")).groupBy("row").agg(
         F.flatten(F.collect_list(F.array(first, F.col("place") + WINDOW))).alias("_windows"))
+    units, windows = written(units, "passage-gone"), written(windows, "passage-gone")
     return rows.select("row", "ident", "text_hash", F.size("digests").cast("long").alias("n_units"),
                        "_text").join(units, "row", "left").join(windows, "row", "left").drop("row")
 
