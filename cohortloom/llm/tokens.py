@@ -14,6 +14,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 
@@ -22,6 +23,7 @@ from cohortloom.llm.spans import ASCII_BLANK, chunks, span_hashes
 #: Blanks of the pre-tokenizer, by code point (Unicode White_Space).
 BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 UNIT = re.compile(f" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
+BLANK_BYTES = frozenset(np.flatnonzero(ASCII_BLANK).tolist())
 #: Units a task remembers.
 MOST_UNITS = 1_000_000
 
@@ -67,6 +69,12 @@ class Encoder:
         self.odd = re.compile("|".join(
             [*map(re.escape, self.special), "[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"]))
 
+    def odd_text(self, text: str) -> bool:
+        """Whether a text holds a special string or a blank beyond ASCII."""
+        if text.isascii():
+            return any(s in text for s in self.special)
+        return self.odd.search(text) is not None
+
     def units(self, text: str) -> list[str]:
         if not self.by_unit:
             return [text]
@@ -95,7 +103,7 @@ class Encoder:
             yield from map(self._one_by_one, texts)
             return
         # Texts with special strings or with blanks beyond ASCII are cut by the pattern.
-        plain = [not self.odd.search(t) for t in texts]
+        plain = [not self.odd_text(t) for t in texts]
         found = iter(self._together([t.encode() for t, p in zip(texts, plain, strict=True) if p]))
         for text, together in zip(texts, plain, strict=True):
             yield next(found) if together else self._one_by_one(text)
@@ -109,7 +117,7 @@ class Encoder:
         lengths, offsets = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64)
         parts, size = [], 0
         words = [i for i, u in enumerate(units) if len(u) > 1 and u[0] == 0x20
-                 and not ASCII_BLANK[u[1]]]
+                 and u[1] not in BLANK_BYTES]
         groups = [words[i:i + 500] for i in range(0, len(words), 500)]
         texts = [b"".join([units[i] for i in g]).decode() for g in groups]
         alone = sorted(set(range(len(units))).difference(words))
@@ -145,8 +153,9 @@ class Encoder:
             codes, some, which = np.unique(
                 span_hashes(np.frombuffer(joined, np.uint8), starts, ends),
                 return_index=True, return_inverse=True)
-            slots = self.store.slots(codes, lambda new: [joined[starts[i]:ends[i]] for i in some[new]],
-                                     self.encode_units)
+            slots = self.store.slots(codes, lambda new: [
+                joined[a:b] for a, b in zip(starts[some[new]].tolist(), ends[some[new]].tolist(),
+                                            strict=True)], self.encode_units)
             if (self.store.sizes()[slots[which]] != ends - starts).any():
                 raise ValueError("two units of different length have one hash")
             ids, bounds = self.store.gather(slots[which], np.searchsorted(starts, at))
@@ -196,17 +205,19 @@ class UnitStore:
         if len(self.known) + len(codes) > MOST_UNITS:
             self.clear()
         keys = codes.tolist()
-        new = [i for i, c in enumerate(keys) if c not in self.known]
-        if new:
+        found = np.fromiter(map(self.known.get, keys, repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero(found < 0)
+        if len(new):
             units = units_of(new)
             ids, offsets, lengths = encode(units)
             first = len(self.offsets)
-            self.known.update(zip([keys[i] for i in new], range(first, first + len(new)), strict=True))
+            found[new] = np.arange(first, first + len(new))
+            self.known.update(zip(codes[new].tolist(), range(first, first + len(new)), strict=True))
             self.offsets.frombytes((offsets + len(self.flat)).tobytes())
             self.lengths.frombytes(lengths.tobytes())
             self.bytes.extend(map(len, units))
             self.flat.frombytes(ids.tobytes())
-        return np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
+        return found
 
     def gather(self, slots: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the slots one after the other, and where each group of them starts."""

@@ -12,6 +12,7 @@ from cohortloom.llm import passages
 from cohortloom.llm.common import DROP_SHUFFLES, written
 from cohortloom.llm.queries import QUERIES
 from cohortloom.llm.spans import word_codes
+from cohortloom.llm.tokens import UnitStore
 from pyspark.sql import functions as F
 
 
@@ -47,3 +48,33 @@ def test_only_windows_of_a_repeated_least_anchor_are_taken(spark):
         spark.createDataFrame(lines, "doc_id long, text string")).collect()}
     assert got[2].kept_text.split() == ["x", "y"] and got[2].removed_words == 40
     assert got[1].removed_words == 0 and got[4].kept_text is None
+
+
+def test_a_unit_is_looked_up_once():
+    class Counted(dict):
+        looked = 0
+
+        def __contains__(self, key):
+            self.looked += 1
+            return super().__contains__(key)
+
+        def __getitem__(self, key):
+            self.looked += 1
+            return super().__getitem__(key)
+
+        def get(self, key, default=None):
+            self.looked += 1
+            return super().get(key, default)
+
+    store = UnitStore("H")
+    store.known = Counted()
+    codes, units = np.arange(10, 60, dtype=np.uint64), [b"x" * (i % 3 + 1) for i in range(50)]
+
+    def encode(new):
+        sizes = np.array(list(map(len, new)), np.int64)
+        return np.repeat(np.arange(len(new), dtype=np.uint16), sizes), np.cumsum(sizes) - sizes, sizes
+
+    first = store.slots(codes, lambda new: [units[i] for i in new], encode)
+    again = store.slots(codes[::-1], lambda new: [units[::-1][i] for i in new], encode)
+    assert first.tolist() == again[::-1].tolist() == list(range(50)) and store.known.looked == 100
+    assert store.sizes()[first].tolist() == list(map(len, units))
