@@ -3,7 +3,9 @@
 A line is cut into units at the ends of sentences. The digests of normalised units are
 grouped over all documents; the earliest occurrence stays. A passage that starts or ends
 inside a sentence is met by its windows of words: equal windows have equal least anchors, so
-only the windows whose own least anchor is repeated are grouped.
+only the windows whose own least anchor is repeated are looked at. Those of one anchor are a
+block. Equal blocks are grouped first; one window is a row of its own only where an anchor has
+different blocks, and there only in the first of each.
 Words of repeated units and windows go in runs; a run of a few words and bytes stays, so
 that single short sentences which many documents share do.
 """
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.common import text_columns, written
+from cohortloom.llm.common import pieces, text_columns, written
 from cohortloom.llm.jaccard_join import ordered_shingles
 from cohortloom.llm.spans import word_codes
 
@@ -70,10 +72,26 @@ def anchors_of(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def windows_at(codes: np.ndarray, anchors: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """(first word, hash) of the windows whose least anchor is one of those."""
+    at, _, _, windows = blocks_at(codes, anchors, alone=True)
+    return at, windows
+
+
+def blocks_at(codes: np.ndarray, anchors: list[int], alone: bool = False
+              ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, anchor's hash, number of windows) of the blocks of windows whose least anchor
+    is one of those, or of these windows ``alone``; the hashes of all windows one after the other."""
     if len(codes) < WINDOW:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    at = np.flatnonzero(np.isin(least_anchors(ordered_shingles(codes, ANCHOR)), anchors))
-    return at, ordered_shingles(codes, WINDOW)[at]
+        none = np.empty(0, np.int64)
+        return none, none.view(np.uint64), none, none.view(np.uint64)
+    each = ordered_shingles(codes, ANCHOR)
+    wanted, least = np.zeros(len(each), bool), least_anchors(each)
+    wanted[anchors] = True
+    at = np.flatnonzero(wanted[least])
+    own = least[at]
+    # Windows of one anchor follow each other.
+    firsts = np.arange(len(at)) if alone else np.flatnonzero(np.diff(own, prepend=-1))
+    return (at[firsts], each[own[firsts]], np.diff(firsts, append=len(at)),
+            ordered_shingles(codes, WINDOW)[at])
 
 
 def unit_table(docs: DataFrame, carry: list[str], text: str) -> DataFrame:
@@ -107,10 +125,12 @@ def runs(text: bytes, units: list[int], windows: list[int],
     starts, ends = word_places(text)
     gone = np.zeros(len(starts) + 1, np.int64)
     if units:
-        own = units_of(text)
-        for start, end in ((own[i][0], own[i][1]) for i in units):
-            gone[np.searchsorted(starts, start)] += 1
-            gone[np.searchsorted(starts, end)] -= 1
+        # A unit has whole words, since it ends at a blank.
+        cuts = np.array([(0, 0), *(m.span() for m in UNIT_END.finditer(text)), (len(text),) * 2])
+        first, last = np.searchsorted(starts, cuts[:-1, 1]), np.searchsorted(starts, cuts[1:, 0])
+        own = np.flatnonzero(last > first)[units]
+        np.add.at(gone, first[own], 1)
+        np.add.at(gone, last[own], -1)
     if windows:
         np.add.at(gone, windows[::2], 1)
         np.add.at(gone, windows[1::2], -1)
@@ -138,47 +158,83 @@ def repeats_of(places: DataFrame) -> DataFrame:
         (F.col("row") != F.col("_row")) | (F.col("place") != F.col("_place")))
 
 
-def window_table(rows: DataFrame) -> DataFrame:
-    """ident, row, place, digest of every window whose own least anchor is repeated."""
+def block_table(rows: DataFrame) -> DataFrame:
+    """ident, row, place, anchor, windows of every block whose anchor is repeated."""
     places = rows.select("row", F.explode(F.arrays_zip("anchor_places", "anchors")).alias("_a")
                          ).select("row", F.col("_a.anchor_places").alias("place"),
                                   F.col("_a.anchors").alias("digest"))
     shared = places.groupBy("digest").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    wanted = places.join(shared, "digest").groupBy("row").agg(
-        F.collect_list("place").alias("_anchors"))
+    # Stored, so that the anchors' shuffle is gone before the texts are shuffled.
+    wanted = written(places.join(shared, "digest").groupBy("row").agg(
+        F.collect_list("place").alias("_anchors")), "passage-anchors")
     texts = rows.select("row", "ident", "_text").join(wanted, "row").select(
         "row", "ident", "_text", "_anchors")
     schema = T.StructType([texts.schema["row"], texts.schema["ident"],
                            T.StructField("place", T.IntegerType()),
-                           T.StructField("digest", T.LongType())])
+                           T.StructField("anchor", T.LongType()),
+                           T.StructField("windows", T.ArrayType(T.LongType()))])
 
     def run(batches):
         for batch in batches:
-            for i in range(batch.num_rows):
-                codes, = word_codes([batch.column(2)[i].cast(pa.binary()).as_py()])
-                at, own = windows_at(codes, batch.column(3)[i].as_py())
-                same = pa.array(np.full(len(at), i))
+            for part, own in pieces(batch, "_text") if batch.num_rows else ():
+                anchors = part.column(3)
+                found = [blocks_at(c, anchors[i].values.to_numpy())
+                         for i, c in enumerate(word_codes(own))]
+                places, hashes, sizes, windows = map(np.concatenate, zip(*found, strict=True))
+                rows = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
+                offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(same), batch.column(1).take(same),
-                     pa.array(at.astype(np.int32)), pa.array(own.view(np.int64))],
+                    [part.column(0).take(rows), part.column(1).take(rows),
+                     pa.array(places.astype(np.int32)), pa.array(hashes.view(np.int64)),
+                     pa.ListArray.from_arrays(offsets, pa.array(windows.view(np.int64)))],
                     names=schema.names)
 
     return texts.mapInArrow(run, schema)
 
 
+def repeated_windows(blocks: DataFrame) -> DataFrame:
+    """row, _from, _to: the words that go with repeated windows, by first and end word.
+
+    A block goes whole if an equal one stands before it: its windows stand there too. All
+    windows of an anchor are in its blocks, so the first of equal blocks is whole too if
+    the anchor has no other ones, and else the first ones' windows are grouped. So are
+    those of equal blocks in the first one's row, since a window that overlaps its own first
+    occurrence leaves that one whole.
+    """
+    blocks = blocks.withColumn("block", F.xxhash64("windows"))
+    classes = written(blocks.groupBy("anchor", "block").agg(
+        F.count(F.lit(1)).alias("_n"), F.min(F.struct("ident", "row", "place")).alias("_first")
+    ).select("anchor", "block", "_n", F.col("_first.row").alias("_row"),
+             F.col("_first.place").alias("_place")), "passage-classes")
+    some = classes.groupBy("anchor").agg((F.count(F.lit(1)) > 1).alias("_many"))
+    known = classes.join(some, "anchor").where("_n > 1 or _many").drop("_n")
+    single = F.col("_many") & (F.col("row") == F.col("_row"))
+    members = written(blocks.join(known, ["anchor", "block"]).select(
+        "ident", "row", "place", "_row", "_place", F.size("windows").alias("_size"),
+        F.when(single, F.col("windows")).alias("windows")), "passage-members")
+
+    first = F.when(F.col("row") == F.col("_row"), F.greatest(
+        F.col("place"), F.col("_place") + WINDOW)).otherwise(F.col("place"))
+    whole = members.where("windows is null and (row != _row or place != _place)").select(
+        "row", first.alias("_from"), (F.col("place") + F.col("_size") - 1 + WINDOW).alias("_to"))
+    windows = members.where("windows is not null").select(
+        "ident", "row", "place", F.posexplode("windows").alias("_step", "digest")).select(
+        "ident", "row", (F.col("place") + F.col("_step")).alias("place"), "digest")
+    each = repeats_of(windows).select(
+        "row", first.alias("_from"), (F.col("place") + WINDOW).alias("_to"))
+    return whole.unionByName(each)
+
+
 def found_repeats(docs: DataFrame, ident: str, text: str) -> DataFrame:
     """Per row of ``docs``: ident, text_hash, n_units, _units, _windows, _text."""
     frame = docs.select(F.col(ident).alias("ident"), F.xxhash64(F.col(text)).alias("text_hash"),
                         F.col(text).alias("_text"))
     rows = written(unit_table(frame, ["ident", "text_hash", "_text"], "_text").withColumn(
-        "row", F.monotonically_increasing_id()), "passage-units")
+        "row", F.monotonically_increasing_id()), "passage-units", codec="zstd")
     units = repeats_of(rows.select("ident", "row", F.posexplode("digests").alias(
         "place", "digest"))).groupBy("row").agg(F.collect_list("place").alias("_units"))
-    # A window that overlaps its own first occurrence leaves that one whole.
-    first = F.when(F.col("row") == F.col("_row"), F.greatest(
-        F.col("place"), F.col("_place") + WINDOW)).otherwise(F.col("place"))
-    windows = repeats_of(written(window_table(rows), "passage-windows")).groupBy("row").agg(
-        F.flatten(F.collect_list(F.array(first, F.col("place") + WINDOW))).alias("_windows"))
+    windows = repeated_windows(written(block_table(rows), "passage-blocks")).groupBy("row").agg(
+        F.flatten(F.collect_list(F.array("_from", "_to"))).alias("_windows"))
     units, windows = written(units, "passage-gone"), written(windows, "passage-gone")
     return rows.select("row", "ident", "text_hash", F.size("digests").cast("long").alias("n_units"),
                        "_text").join(units, "row", "left").join(windows, "row", "left").drop("row")

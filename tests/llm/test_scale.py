@@ -50,6 +50,57 @@ def test_only_windows_of_a_repeated_least_anchor_are_taken(spark):
     assert got[1].removed_words == 0 and got[4].kept_text is None
 
 
+def test_windows_of_equal_blocks_are_no_rows_of_their_own(spark, monkeypatch):
+    words = [f"w{i}" for i in np.random.default_rng(5).integers(0, 10_000, 200)]
+    docs = spark.createDataFrame([(i, " ".join(words)) for i in range(4)], "doc_id long, text string")
+    counts, plain = [], passages.repeats_of
+    monkeypatch.setattr(passages, "repeats_of", lambda places: (
+        counts.append(places.count()), plain(places))[1])
+    got = {r.doc_id: r.removed_words for r in passages.remove_repeats(docs).collect()}
+    # The units, one in each text, and no window: every anchor has one block only.
+    assert counts == [4, 0] and got == {0: 0, 1: 200, 2: 200, 3: 200}
+
+
+def by_brute_force(rows):
+    """removed spans of (id, text) rows whose ids are in order, by all windows of all texts."""
+    units, windows, out = {}, {}, {}
+    for ident, text in rows:
+        codes = text.split()
+        for place, unit in enumerate(passages.units_of(text.encode())):
+            units.setdefault(unit[3], (ident, place))
+        for place in range(len(codes) - passages.WINDOW + 1):
+            windows.setdefault(tuple(codes[place:place + passages.WINDOW]), (ident, place))
+    for ident, text in rows:
+        codes, pairs = text.split(), []
+        own = [place for place, unit in enumerate(passages.units_of(text.encode()))
+               if units[unit[3]] != (ident, place)]
+        for place in range(len(codes) - passages.WINDOW + 1):
+            row, first = windows[tuple(codes[place:place + passages.WINDOW])]
+            if (row, first) != (ident, place):
+                pairs += [max(place, first + passages.WINDOW) if row == ident else place,
+                          place + passages.WINDOW]
+        out[ident] = passages.runs(text.encode(), own, pairs)
+    return out
+
+
+def test_blocks_give_what_all_windows_give(spark):
+    random = np.random.default_rng(8)
+    passage = [[f"p{k}x{i}" for i in random.integers(0, 400, 90)] for k in range(5)]
+    rows = []
+    for ident in range(60):
+        words = []
+        for _ in range(random.integers(1, 5)):
+            own = passage[random.integers(5)]
+            start = int(random.integers(0, 60))
+            words += own[start:start + int(random.integers(10, 90))]
+            words += [f"o{i}" for i in random.integers(0, 3, random.integers(0, 40))]
+        rows.append((ident, " ".join(words)))
+    rows += [(60, rows[7][1]), (61, rows[7][1]), (62, ("a b c " * 40).strip()), (63, ("a " * 70).strip())]
+    got = {r.doc_id: [list(s) for s in r.spans] for r in passages.find_repeats(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == by_brute_force(rows) and sum(map(bool, got.values())) > 40
+
+
 def test_a_unit_is_looked_up_once():
     class Counted(dict):
         looked = 0
