@@ -47,8 +47,9 @@ class JaccardJoin:
 
     ``sketch_bits``: counters of the document frequencies are 2 to this power.
     ``frequent``: a counter this many times above the mean marks frequent tokens.
-    ``map_words``: 64-bit words in a bit map. ``block``: nodes of a bucket compared
-    in one block. ``most_broadcast``: nodes whose ids are sent to the tasks that
+    ``map_words``: 64-bit words in a bit map. ``map_bits``: bits for each token at least
+    in the maps of candidates, made before their sets are. ``block``: nodes of a bucket
+    compared in one block. ``most_broadcast``: nodes whose ids are sent to the tasks that
     read their texts; for more of them the texts are shuffled.
     """
 
@@ -57,6 +58,7 @@ class JaccardJoin:
     sketch_bits: int = 20
     frequent: float = 4.0
     map_words: int = 32
+    map_bits: int = 8
     block: int = 512
     most_broadcast: int = 1_000_000
 
@@ -71,6 +73,13 @@ class JaccardJoin:
     def classes(self, n: int) -> int:
         return 1 << (max(1, self.misses(n)).bit_length() - 1)
 
+    def words_for(self, n: int) -> int:
+        """64-bit words in the map of a candidate of n tokens: map_words, doubled as needed."""
+        words = self.map_words
+        while 64 * words < self.map_bits * n:
+            words *= 2
+        return words
+
     def can_differ(self, n: int) -> bool:
         """Whether a set of n can be similar to another one at all."""
         return 100 * n >= self.percent * (n + 1)
@@ -242,9 +251,15 @@ def may_be_similar(a: np.ndarray, b: np.ndarray, apart: np.ndarray, rule: Jaccar
         (100 + rule.percent) * apart <= (100 - rule.percent) * (a + b))
 
 
-def similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, rule: JaccardJoin) -> DataFrame:
-    """The pairs (a, b) whose sets are similar, by the sets of their texts, read again."""
-    pairs = written(pairs, "jaccard-pairs")
+def differing(left: bytes, right: bytes) -> int:
+    """Differing bits of two maps; the longer one is folded to the shorter one's length."""
+    a, b = sorted((np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)), key=len)
+    return int(np.bitwise_count(a ^ np.bitwise_or.reduce(b.reshape(-1, len(a)))).sum(dtype=np.int64))
+
+
+def of_candidates(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, rule: JaccardJoin,
+                  name: str, fields: list[T.StructField], compute) -> DataFrame:
+    """node and ``fields`` of the pairs' nodes, made from the shingles of their texts."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = written(wanted.join(nodes.select("node", "ident", "text_hash"), "node"),
                      "jaccard-wanted").withColumnsRenamed({"ident": "_ident", "text_hash": "_hash"})
@@ -254,12 +269,48 @@ def similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, rule: JaccardJo
         F.col("text_hash") == F.col("_hash"))).select("node", "_text")
 
     def prepare():
-        return lambda own: [pa.array([shingles(c, rule.size).view(np.int64)
-                                      for c in word_codes(own)], pa.list_(pa.int64()))]
+        return lambda own: compute([shingles(c, rule.size) for c in word_codes(own)])
+
+    return written(text_columns(texts, "_text", fields, prepare, ["node"]).dropDuplicates(["node"]),
+                   name)
+
+
+def near_candidates(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, rule: JaccardJoin
+                    ) -> DataFrame:
+    """The pairs (a, b) that maps as large as their sets ask for do not rule out."""
+    maps = of_candidates(
+        pairs, docs, nodes, rule, "jaccard-maps",
+        [T.StructField("size", T.LongType()), T.StructField("map", T.BinaryType())],
+        lambda sets: [pa.array(list(map(len, sets)), pa.int64()),
+                      pa.array([bit_map(s, rule.words_for(len(s))) for s in sets], pa.binary())])
+    sides = [maps.select(F.col("node").alias(c), F.col("size").alias(f"{c}_size"),
+                         F.col("map").alias(f"{c}_map")) for c in ("a", "b")]
+    both = pairs.join(sides[0], "a").join(sides[1], "b").select(
+        "a", "b", "a_size", "b_size", "a_map", "b_map")
+
+    def run(batches):
+        for batch in batches:
+            a, b = (batch.column(c).to_numpy() for c in ("a_size", "b_size"))
+            apart = np.fromiter((differing(x.as_py(), y.as_py()) for x, y in zip(
+                batch.column("a_map"), batch.column("b_map"), strict=True)), np.int64, len(a))
+            near = may_be_similar(a, b, apart, rule)
+            yield pa.RecordBatch.from_arrays(
+                [pc.filter(batch.column(c), pa.array(near)) for c in ("a", "b")], names=["a", "b"])
+
+    return both.mapInArrow(run, "a bigint, b bigint")
+
 
-    tokens = [T.StructField("tokens", T.ArrayType(T.LongType(), False))]
-    sets = written(text_columns(texts, "_text", tokens, prepare, ["node"]).dropDuplicates(["node"]),
-                   "jaccard-sets")
+def similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, rule: JaccardJoin) -> DataFrame:
+    """The pairs (a, b) whose sets are similar, by the sets of their texts, read again.
+
+    Maps by size go first: they take an eighth of a set's bytes or little more, and few
+    sets of long texts that are not similar have to meet after them."""
+    pairs = written(pairs, "jaccard-pairs")
+    pairs = written(near_candidates(pairs, docs, nodes, rule), "jaccard-near")
+    sets = of_candidates(
+        pairs, docs, nodes, rule, "jaccard-sets",
+        [T.StructField("tokens", T.ArrayType(T.LongType(), False))],
+        lambda sets: [pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))])
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("_left"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("_right"))
     both = pairs.join(left, "a").join(right, "b").select(

@@ -8,8 +8,9 @@ import time
 import numpy as np
 from conftest import plan_of
 
-from cohortloom.llm import passages
+from cohortloom.llm import jaccard_join, passages
 from cohortloom.llm.common import DROP_SHUFFLES, written
+from cohortloom.llm.jaccard_join import JaccardJoin, bit_map
 from cohortloom.llm.queries import QUERIES
 from cohortloom.llm.spans import word_codes
 from cohortloom.llm.tokens import UnitStore
@@ -101,6 +102,36 @@ def test_blocks_give_what_all_windows_give(spark):
     assert got == by_brute_force(rows) and sum(map(bool, got.values())) > 40
 
 
+def test_long_sets_that_are_not_similar_do_not_meet(spark):
+    rule = JaccardJoin()
+    words = [f"w{i}" for i in range(9000)]
+    texts = [words[:6000], words[1500:7500], words[20:6020], [*words[:5000], *words[8000:]]]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)],
+                                 "ident long, _text string").withColumn("text_hash", F.xxhash64("_text"))
+    nodes = docs.select(F.col("ident").alias("node"), "ident", "text_hash")
+    pairs = spark.createDataFrame([(a, b) for a in range(4) for b in range(a + 1, 4)], "a long, b long")
+    sets = [jaccard_join.shingles(c, rule.size) for c in word_codes([" ".join(t).encode() for t in texts])]
+    # The maps of the index are full of ones and rule none of these pairs out.
+    few = [np.frombuffer(bit_map(s, rule.map_words), np.uint64) for s in sets]
+    apart = np.array([np.bitwise_count(few[0] ^ few[1]).sum(dtype=np.int64)])
+    assert jaccard_join.may_be_similar(np.array([len(sets[0])]), np.array([len(sets[1])]), apart, rule)[0]
+    near = jaccard_join.near_candidates(pairs, docs, nodes, rule)
+    assert [tuple(r) for r in near.collect()] == [(0, 2)]
+    assert [tuple(r) for r in jaccard_join.similar(pairs, docs, nodes, rule).collect()] == [(0, 2)]
+
+
+def test_folded_maps_never_differ_in_more_bits_than_the_sets():
+    rule, random = JaccardJoin(), np.random.default_rng(2)
+    assert rule.words_for(0) == rule.words_for(256) == 32 and rule.words_for(257) == 64
+    for n, m in ((230, 260), (500, 520), (1000, 1100), (3, 5000)):
+        tokens = random.integers(0, 2**63, n + m, np.uint64)
+        one, two = np.unique(tokens[:n]), np.unique(tokens[n // 2:n // 2 + m])
+        maps = [bit_map(s, rule.words_for(len(s))) for s in (one, two)]
+        found = jaccard_join.differing(*maps)
+        assert found == jaccard_join.differing(*maps[::-1]) <= len(np.setxor1d(one, two))
+        assert jaccard_join.differing(maps[0], maps[0]) == 0
+
+
 def test_a_unit_is_looked_up_once():
     class Counted(dict):
         looked = 0
