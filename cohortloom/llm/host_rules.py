@@ -128,7 +128,7 @@ def judge_hosts(docs: DataFrame, rules: HostRules | None = None, *, host: str =
                          F.col(host).alias("_host"), F.col(text).alias("_text"))
     counts = written(
         base_counts(narrow, "_text").drop("_text").withColumn("base_failed", base_failed(rules)),
-        "host-rules")
+        "host-rules", codec="zstd")
     hosts = host_verdicts(counts, rules, "_host").withColumnRenamed("_host", "_at_host")
     joined = counts.join(hosts, F.col("_host").eqNullSafe(F.col("_at_host")), "left")
     return joined.select(

@@ -469,15 +469,17 @@ def keep_one_each(docs: DataFrame, rule: JaccardJoin | None = None, *, ident: st
     """
     linked = link_documents(docs, rule, ident=ident, text=text)
     least = F.min(F.struct(F.col(ident).isNull(), F.col(ident).alias("id"), "text_hash"))
+    # The id as a struct is never null, so plain equality does, and the join and the turns
+    # share one shuffle of the rows.
+    keys = ["_id", "_text_hash"]
     first = linked.where("n_shingles > 0").groupBy(by).agg(least.alias("_least")).select(
-        F.col("_least.id").alias("_id"), F.col("_least.text_hash").alias("_hash"))
+        F.struct("_least.id").alias("_id"), F.col("_least.text_hash").alias("_text_hash"))
     keyed = docs.select(
-        F.struct(*(F.col(c) for c in docs.columns)).alias("_row"), F.col(ident).alias("_ident"),
-        F.xxhash64(F.col(text)).alias("_text_hash"),
+        F.struct(*(F.col(c) for c in docs.columns)).alias("_row"),
+        F.struct(F.col(ident).alias("id")).alias("_id"), F.xxhash64(F.col(text)).alias("_text_hash"),
         F.coalesce(F.length(F.btrim(F.col(text), F.lit(" \t\n\x0b\x0c\r"))) > 0, F.lit(False))
         .alias("_has_words"))
-    kept = keyed.where("_has_words").join(first, F.col("_ident").eqNullSafe(
-        F.col("_id")) & (F.col("_text_hash") == F.col("_hash")))
-    turn = F.row_number().over(Window.partitionBy("_ident", "_text_hash").orderBy(F.lit(0)))
+    kept = keyed.where("_has_words").join(first, keys)
+    turn = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
     kept = kept.withColumn("_turn", turn).where("_turn = 1").select("_row")
     return kept.unionByName(keyed.where("not _has_words").select("_row")).select("_row.*")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import glob
+import re
 import time
 
 import numpy as np
@@ -132,6 +133,19 @@ def test_folded_maps_never_differ_in_more_bits_than_the_sets():
         assert jaccard_join.differing(maps[0], maps[0]) == 0
 
 
+def test_whole_rows_are_shuffled_once_to_keep_one_each(spark):
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (None, "a b c d e f"), (None, "x y z u v"),
+            (3, "x y z u v"), (3, "x y z u v"), (None, "q r s t u"), (None, "q r s t u"), (5, " "), (5, " ")]
+    kept = jaccard_join.keep_one_each(spark.createDataFrame(rows, "doc_id long, text string"),
+                                      by="component")
+    plan = kept._sc._jvm.PythonSQLUtils.explainString(kept._jdf.queryExecution(), "formatted")
+    moved = re.findall(r"\(\d+\) Exchange\n(?:Input|Output) *\[\d+\]: \[([^\n]*)\]", plan)
+    assert moved and sum("_row#" in m for m in moved) == 1
+    assert sorted((r.doc_id is None, r.doc_id, r.text) for r in kept.collect() if r.doc_id) == [
+        (False, 1, "a b c d e f"), (False, 3, "x y z u v"), (False, 5, " "), (False, 5, " ")]
+    assert [r.text for r in kept.collect() if r.doc_id is None] == ["q r s t u"]
+
+
 def test_a_unit_is_looked_up_once():
     class Counted(dict):
         looked = 0
