@@ -11,8 +11,10 @@ that a partner may ask for.
 
 Equal sets are one node. In a bucket of an index key every node is compared with a
 few centres only; what these leave in different components is compared in blocks,
-by a bound from bit maps, and then exactly. So a large group of near copies costs
-comparisons in proportion to its size, and no link between components is lost.
+by a bound from bit maps, and then exactly. Of the pairs that a bit map lets through,
+a node's nearest go first, and the others only where they still are in different
+components then. So a large group of near copies costs pairs in proportion to its
+size, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -49,7 +51,8 @@ class JaccardJoin:
     ``frequent``: a counter this many times above the mean marks frequent tokens.
     ``map_words``: 64-bit words in a bit map. ``map_bits``: bits for each token at least
     in the maps of candidates, made before their sets are. ``block``: nodes of a bucket
-    compared in one block. ``most_broadcast``: nodes whose ids are sent to the tasks that
+    compared in one block. ``nearest``: pairs of a node in two blocks that are settled in
+    a round, until none had more; the round after these takes all. ``most_broadcast``: nodes whose ids are sent to the tasks that
     read their texts; for more of them the texts are shuffled.
     """
 
@@ -60,6 +63,7 @@ class JaccardJoin:
     map_words: int = 32
     map_bits: int = 8
     block: int = 512
+    nearest: tuple[int, ...] = (4, 32)
     most_broadcast: int = 1_000_000
 
     def misses(self, n: int) -> int:
@@ -305,7 +309,6 @@ def similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, rule: JaccardJo
 
     Maps by size go first: they take an eighth of a set's bytes or little more, and few
     sets of long texts that are not similar have to meet after them."""
-    pairs = written(pairs, "jaccard-pairs")
     pairs = written(near_candidates(pairs, docs, nodes, rule), "jaccard-near")
     sets = of_candidates(
         pairs, docs, nodes, rule, "jaccard-sets",
@@ -320,8 +323,9 @@ def similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, rule: JaccardJo
         F.col("_l") + F.col("_r") - F.col("_both"))).select("a", "b")
 
 
-def near_in_block(rule: JaccardJoin):
-    """Reads rows sorted by (key, left, right); yields the pairs their bit maps do not rule out."""
+def near_in_block(rule: JaccardJoin, most: int | None):
+    """Reads rows sorted by (key, left, right, node); yields the pairs their bit maps do not
+    rule out, with ``most`` a node's nearest ones, and the keys that may have more."""
     def pairs_of(rows: pa.Table):
         same = rows.column("left")[0] == rows.column("right")[0]
         node, size, part = (rows.column(c).to_numpy() for c in ("node", "size", "part"))
@@ -332,19 +336,27 @@ def near_in_block(rule: JaccardJoin):
             others = np.flatnonzero((part != part[i]) & (
                 np.arange(len(node)) > i if same else ~in_left))
             apart = np.bitwise_count(maps[others] ^ maps[i]).sum(1, dtype=np.int64)
-            near = others[may_be_similar(size[others], size[i], apart, rule)]
-            if len(near):
-                yield np.minimum(node[near], node[i]), np.maximum(node[near], node[i])
+            near = may_be_similar(size[others], size[i], apart, rule)
+            others, apart = others[near], apart[near]
+            if len(others):
+                cut = most is not None and len(others) > most
+                if cut:
+                    others = others[np.lexsort((node[others], apart))[:most]]
+                yield np.minimum(node[others], node[i]), np.maximum(node[others], node[i]), cut
 
     def run(batches):
         held: list[pa.RecordBatch] = []
 
         def flush(table):
-            found = list(pairs_of(table))
+            found, names = list(pairs_of(table)), ["key", "a", "b"]
             if found:
+                a, b = (pa.array(np.concatenate([f[k] for f in found])) for k in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(a), pa.int64()), a, b], names=names)
+            if most is not None and (table.column("left")[0].as_py() >= 0 or any(
+                    cut for _, _, cut in found)):
+                none = pa.nulls(1, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([f[k] for f in found])) for k in (0, 1)],
-                    names=["a", "b"])
+                    [table.column("key").slice(0, 1).combine_chunks(), none, none], names=names)
 
         def edges_of(table):
             keys = [table.column(c).to_numpy() for c in ("key", "left", "right")]
@@ -365,36 +377,49 @@ def near_in_block(rule: JaccardJoin):
     return run
 
 
-def left_over(members: DataFrame, parts: DataFrame, nodes: DataFrame, rule: JaccardJoin
-              ) -> DataFrame:
+def left_over(members: DataFrame, parts: DataFrame, nodes: DataFrame, rule: JaccardJoin,
+              most: int | None = None) -> DataFrame:
     """Pairs (a, b) of nodes in one bucket but different components that may be similar.
 
-    A large bucket's nodes outside its centre's component are dealt to blocks by hash,
+    A large bucket's nodes outside its largest component are dealt to blocks by hash,
     and so are those inside; blocks meet in pairs, except two of the second kind.
+    With ``most``, a node's nearest ones of two blocks, and a block outside meets itself and
+    one inside. Rows with a key and no pair name the buckets that may have more.
     """
     part = F.coalesce(F.col("component"), F.col("node"))
     placed = members.select("key", "node").join(parts, "node", "left").select(
         "key", "node", part.alias("part"))
-    open_keys = placed.groupBy("key").agg(
-        F.min_by("part", "node").alias("_head"), F.count(F.lit(1)).alias("_all"),
-        F.min("part").alias("_low"), F.max("part").alias("_high")).where("_low != _high")
-    placed = placed.join(open_keys.select("key", "_head", "_all"), "key").select(
+    sizes = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("_n"))
+    open_keys = sizes.groupBy("key").agg(
+        F.max_by("part", F.struct("_n", "part")).alias("_head"), F.max("_n").alias("_inside"),
+        F.sum("_n").alias("_all")).where("_inside < _all")
+    blocks = lambda rows: F.ceil(rows / rule.block).cast("int")
+    placed = placed.join(open_keys, "key").select(
         "key", "node", "part", (F.col("part") != F.col("_head")).alias("_out"),
-        F.ceil(F.col("_all") / rule.block).cast("int").alias("_n"))
-    # A bucket of one block is compared whole; in a larger one blocks 0 to n - 1 are those
-    # outside the centre's component, n to 2n - 1 those inside.
-    whole, own = F.col("_n") == 1, F.pmod(F.xxhash64("node"), "_n").cast("int")
-    block = F.when(whole, F.lit(0)).when(F.col("_out"), own).otherwise(F.col("_n") + own)
-    last = F.when(whole, F.lit(0)).when(F.col("_out"), 2 * F.col("_n") - 1).otherwise(
-        F.col("_n") - 1)
+        (F.col("_all") <= rule.block).alias("_whole"),
+        blocks(F.col("_all") - F.col("_inside")).alias("_outs"), blocks(F.col("_inside")).alias("_ins"))
+    # A bucket of one block, -1, is compared whole; in a larger one the first blocks are those
+    # outside the largest component, the others those inside.
+    whole, out, outs, ins = (F.col(c) for c in ("_whole", "_out", "_outs", "_ins"))
+    own = F.xxhash64("node")
+    block = F.when(whole, F.lit(-1)).when(out, F.pmod(own, outs).cast("int")).otherwise(
+        outs + F.pmod(own, ins).cast("int"))
+    if most is None:
+        others = F.when(out, F.sequence(F.lit(0), outs + ins - 1)).otherwise(
+            F.sequence(F.lit(0), outs - 1))
+    else:
+        others = F.when(out, F.array("block", outs + F.pmod("block", ins))).otherwise(F.filter(
+            F.sequence(F.lit(0), outs - 1), lambda i: F.pmod(i, ins) == F.col("block") - outs))
     rows = placed.withColumn("block", block).select(
-        "key", "node", "part", "block", F.explode(F.sequence(F.lit(0), last)).alias("_other"))
+        "key", "node", "part", "block",
+        F.explode(F.when(whole, F.array(F.lit(-1))).otherwise(others)).alias("_other"))
     rows = rows.select("key", "node", "part", "block", F.least("block", "_other").alias("left"),
                        F.greatest("block", "_other").alias("right"))
     rows = rows.join(nodes.select("node", F.col("n_shingles").alias("size"), "map"), "node")
     sorted_rows = rows.repartition("key", "left", "right").sortWithinPartitions(
-        "key", "left", "right")
-    return sorted_rows.mapInArrow(near_in_block(rule), "a bigint, b bigint").distinct()
+        "key", "left", "right", "node")
+    return sorted_rows.mapInArrow(near_in_block(rule, most), "key bigint, a bigint, b bigint"
+                                  ).distinct()
 
 
 def link_documents(docs: DataFrame, rule: JaccardJoin | None = None, *, ident: str = "doc_id",
@@ -442,10 +467,19 @@ def link_documents(docs: DataFrame, rule: JaccardJoin | None = None, *, ident: s
     stars = members.select("node", F.explode("_centres").alias("_centre")).where("node != _centre")
     stars = stars.select(F.least("node", "_centre").alias("a"),
                          F.greatest("node", "_centre").alias("b")).distinct()
-    links = written(similar(near_pairs(stars, named, rule), frame, named, rule), "jaccard-links")
-    parts = written(connected(links), "jaccard-parts")
-    more = similar(left_over(members, parts, named, rule), frame, named, rule)
-    joined = connected(links.unionByName(more))
+    pairs = written(near_pairs(stars, named, rule), "jaccard-pairs")
+    links = written(similar(pairs, frame, named, rule), "jaccard-links")
+    for most in (*rule.nearest, None):
+        joined = written(connected(links), "jaccard-parts")
+        left = written(left_over(members, joined, named, rule, most), "jaccard-pairs")
+        more = written(similar(left.where("a is not null").select("a", "b"), frame, named, rule),
+                       "jaccard-links")
+        links = more.unionByName(joined.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        again = left.where("a is null").select("key")
+        if again.isEmpty():
+            break
+        members = members.join(again, "key", "left_semi")
+    joined = connected(links)
 
     labels = classes.join(joined, "node")
     least = labels.groupBy("component").agg(F.min("label").alias("component_id"))

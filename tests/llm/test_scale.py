@@ -7,6 +7,7 @@ import re
 import time
 
 import numpy as np
+import pytest
 from conftest import plan_of
 
 from cohortloom.llm import jaccard_join, passages
@@ -133,6 +134,29 @@ def test_folded_maps_never_differ_in_more_bits_than_the_sets():
         assert jaccard_join.differing(maps[0], maps[0]) == 0
 
 
+@pytest.mark.parametrize("rule", [JaccardJoin(), JaccardJoin(block=32, nearest=(1,))])
+def test_near_copies_far_from_the_centres_are_not_paired_all(spark, monkeypatch, rule):
+    # Two of 24 words are changed: texts with a changed place in common are similar, others are not.
+    base = [f"w{i}" for i in range(160)]
+    texts = [" ".join(f"{w}x{i}y{j}" if k in (6 * i + 2, 6 * j + 2) else w for k, w in enumerate(base))
+             for i in range(24) for j in range(i)]
+    apart = [" ".join(base[:100] + [f"{s}{k}" for k in range(60)]) for s in "ab"]
+    stored, plain = [], jaccard_join.written
+
+    def counted(df, name):
+        out = plain(df, name)
+        if name == "jaccard-pairs":
+            stored.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "written", counted)
+    docs = spark.createDataFrame(list(enumerate(texts + apart)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_join.link_documents(docs, rule).collect()}
+    assert got == dict.fromkeys(range(276), 0) | {276: 276, 277: 277}
+    # All similar pairs are 276 * 44 / 2 = 6,072; without nearest ones first, 3,752 were formed.
+    assert rule.block < 512 or sum(stored) < 2500
+
+
 def test_whole_rows_are_shuffled_once_to_keep_one_each(spark):
     rows = [(1, "a b c d e f"), (2, "a b c d e f"), (None, "a b c d e f"), (None, "x y z u v"),
             (3, "x y z u v"), (3, "x y z u v"), (None, "q r s t u"), (None, "q r s t u"), (5, " "), (5, " ")]
