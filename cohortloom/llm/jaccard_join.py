@@ -478,7 +478,7 @@ def link_documents(docs: DataFrame, rule: JaccardJoin | None = None, *, ident: s
         again = left.where("a is null").select("key")
         if again.isEmpty():
             break
-        members = members.join(again, "key", "left_semi")
+        members = written(members.join(again, "key", "left_semi"), "jaccard-buckets")
     joined = connected(links)
 
     labels = classes.join(joined, "node")
