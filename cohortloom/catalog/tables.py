@@ -37,6 +37,9 @@ ITEM_NUMBERS = {"click": 1, "error": 2, "purchase": 3, "view": 4}
 ACUTE_EVENTS = ("error", "purchase")
 LOADED_AT = "timestamp_ntz'2024-02-01 00:00:00'"
 MODELS = ("tabular", "combined")
+#: Orders up to which their join may be a broadcast, and lines that one task takes beyond.
+FEW_ORDERS = 2_000_000
+TASK_LINES = 200_000
 
 
 def days(number: Column) -> Column:
@@ -120,13 +123,19 @@ class Tables:
 
     @cached_property
     def raw_diagnoses(self) -> DataFrame:
+        return self.coded_lines()
+
+    def coded_lines(self, tasks: int | None = None) -> DataFrame:
+        """Lines with their part and order; the order is joined in so many tasks."""
         number = F.col("l_linenumber")
         lines = self.load("lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
         parts = self.load("part").select("p_partkey", "p_brand", "p_type")
         orders = self.load("orders").select("o_orderkey", "o_custkey")
-        return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(
-            orders, F.col("l_orderkey") == F.col("o_orderkey")
-        ).select(
+        coded = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        if tasks:
+            coded = coded.repartition(tasks, "l_orderkey")
+            orders = orders.repartition(tasks, "o_orderkey")
+        return coded.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
             F.col("o_custkey").alias("subject_id"), F.col("l_orderkey").alias("hadm_id"),
             number.alias("seq_num"),
             F.concat(F.lit(" "), "p_brand", F.lit("."), "p_type", F.lit(" ")).alias("icd_code"),
@@ -168,7 +177,14 @@ class Tables:
 
     @cached_property
     def diagnoses(self) -> DataFrame:
-        return cleaning.clean_diagnoses(self.raw_diagnoses, ORDER_RULES)
+        """The join with the orders, the choice of one row per code and what counts codes
+        share their tasks, each with its own sorts and maps. Partitions put together by
+        their packed bytes hold millions of lines, so with many orders the tasks follow
+        the lines. A few orders are broadcast, and a busy one is not brought together."""
+        tasks = None
+        if self.load("orders").count() > FEW_ORDERS:
+            tasks = -(-self.load("lineitem").count() // TASK_LINES)
+        return cleaning.clean_diagnoses(self.coded_lines(tasks), ORDER_RULES)
 
     @cached_property
     def dictionary(self) -> DataFrame:

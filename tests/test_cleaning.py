@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import replace
 
 from conftest import moment, plan_of
 from pyspark.sql import functions as F
 
+from cohortloom.catalog import tables
 from cohortloom.functions.columns import normalise_label
 from cohortloom.operators import cleaning
 from cohortloom.operators.features import unique_names
@@ -159,3 +161,40 @@ def test_names_never_collide(spark):
     found = [r.unique_name for r in unique_names(df, "name", ["i"]).orderBy("i").collect()]
     assert len(set(found)) == len(names)
     assert found == ["foo", "foo_4", "foo_2", "foo_5", "bar", "foo_3", "foo_2_2", "foo_02"]
+
+
+def test_diagnoses_of_many_orders_are_in_tasks_of_few_lines(spark, tmp_path, monkeypatch):
+    n = 4000
+    key = F.col("id")
+    frames = {
+        "part": spark.range(50).select(
+            key.alias("p_partkey"), F.concat(F.lit("Brand#"), (key % 30).cast("string")).alias("p_brand"),
+            F.lit("ECONOMY").alias("p_type")),
+        "orders": spark.range(n // 4).select(
+            F.when(key % 90 != 0, key).alias("o_orderkey"), (key % 70).alias("o_custkey")),
+        "lineitem": spark.range(n).select(
+            F.when(key % 80 != 0, F.floor(key / 4)).alias("l_orderkey"),
+            F.when(key % 33 != 0, key * 7 % 50).alias("l_partkey"),
+            (1 + key % 7).cast("int").alias("l_linenumber")),
+    }
+    for name, df in frames.items():
+        # Rows that come twice, too.
+        df.unionByName(df.where(F.rand(1) < 0.1)).write.parquet(str(tmp_path / f"{name}.parquet"))
+
+    def found():
+        rows = tables.Tables(spark, str(tmp_path)).diagnoses.withColumn("_task", F.spark_partition_id())
+        rows = rows.collect()
+        sizes = Counter(r["_task"] for r in rows)
+        return sorted((tuple(r)[:-1] for r in rows), key=str), sizes
+
+    whole, _ = found()
+    monkeypatch.setattr(tables, "FEW_ORDERS", 100, raising=False)
+    monkeypatch.setattr(tables, "TASK_LINES", 200, raising=False)
+    for broadcast in ("-1", "10m"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+        try:
+            rows, sizes = found()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert rows == whole and len(rows) > 3000
+        assert max(sizes.values()) <= 2 * 200
