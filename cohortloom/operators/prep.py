@@ -1,7 +1,8 @@
 """Feature preparation fitted on training rows and applied to all rows.
 
 Fitted statistics reach the rows as scalar subqueries: one row, computed by one
-aggregation inside the same plan.
+aggregation inside the same plan. A subquery is named once, as a column that the
+others read: each mention would be planned by itself, with all that stands below it.
 """
 
 from __future__ import annotations
@@ -14,6 +15,9 @@ from pyspark.sql import types as T
 
 from cohortloom.operators.ranking import exact_quantile
 
+#: Holds the fitted statistics while they are applied.
+FITTED = "_fitted_statistics"
+
 
 def _missing(df: DataFrame, name: str) -> Column:
     gone = F.col(name).isNull()
@@ -38,14 +42,15 @@ def standardise(df: DataFrame, columns: Sequence[str], fit_on: Column) -> DataFr
         field for c in columns
         for field in (F.avg(c).alias(f"{c}_mean"), F.stddev_pop(c).alias(f"{c}_sd"))
     ])
-    fitted = df.where(fit_on).agg(moments.alias("fitted")).scalar()
+    statistics = df.where(fit_on).agg(moments.alias("fitted")).scalar()
+    fitted = F.col(FITTED)
 
     def scaled(name: str) -> Column:
         sd = fitted.getField(f"{name}_sd")
         unit = F.when(sd == 0, F.lit(1.0)).otherwise(sd)
         return (F.col(name) - fitted.getField(f"{name}_mean")) / unit
 
-    return df.withColumns({c: scaled(c) for c in columns})
+    return df.withColumn(FITTED, statistics).withColumns({c: scaled(c) for c in columns}).drop(FITTED)
 
 
 def impute_median(df: DataFrame, columns: Sequence[str], fit_on: Column) -> DataFrame:
@@ -57,6 +62,6 @@ def impute_median(df: DataFrame, columns: Sequence[str], fit_on: Column) -> Data
     medians = exact_quantile(long, ["_column"], "_value").agg(F.struct(*[
         F.max(F.when(F.col("_column") == c, F.col("quantile"))).alias(c) for c in columns
     ]).alias("fitted")).scalar()
-    return df.withColumns({
-        c: F.when(_missing(df, c), medians.getField(c)).otherwise(F.col(c)) for c in columns
-    })
+    return df.withColumn(FITTED, medians).withColumns({
+        c: F.when(_missing(df, c), F.col(FITTED).getField(c)).otherwise(F.col(c)) for c in columns
+    }).drop(FITTED)

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import partial, reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -26,6 +29,9 @@ SEED = 42
 DEEPEST = 30
 #: Nodes of a forest that the driver may have to hold at once, and rows that a leaf has at least.
 MOST_NODES, LEAF_ROWS = 1_000_000, 3
+#: Training rows times trees of a part, where its trees turn out small: for each of them the
+#: executors hold a count and a node number.
+MOST_DRAWS = 20_000_000
 #: Between the seeds of a forest's parts; MLlib adds the number of the partition to them.
 SEED_STEP = 1_000_003
 
@@ -42,7 +48,8 @@ def classifiers(train_rows: int, seed: int = SEED, trees: int = 300, rounds: int
             maxIter=2000, regParam=1.0 / max(train_rows, 1), standardization=False, **common
         ),
         "random_forest": RandomForestClassifier(
-            numTrees=trees, minInstancesPerNode=LEAF_ROWS, maxDepth=depth, seed=seed, **common
+            numTrees=trees, minInstancesPerNode=LEAF_ROWS, maxDepth=depth, seed=seed,
+            cacheNodeIds=True, **common
         ),
         "gradient_boosting": GBTClassifier(
             maxIter=rounds, maxDepth=3, stepSize=0.1, seed=seed, **common
@@ -80,6 +87,15 @@ def forest_parts(trees: int, train_rows: int) -> list[int]:
     return [min(at_once, trees - done) for done in range(0, trees, at_once)]
 
 
+def small_trees(train_rows: int, grown: int, nodes: int) -> int:
+    """Trees of a part, by those ``grown`` before, which have so many ``nodes`` together.
+
+    Trees of one forest are about as large, so a part of twice their mean fits. Every part
+    reads the training rows once for each level: few large parts take less time.
+    """
+    return min(MOST_NODES * grown // (2 * nodes), MOST_DRAWS // max(1, train_rows))
+
+
 def second_class() -> Column:
     return F.get(vector_to_array("probability"), F.lit(1))
 
@@ -90,15 +106,20 @@ def forest_scores(forest: RandomForestClassifier, train: DataFrame, rows: DataFr
 
     Trees grow with the training rows and MLlib keeps a model at the driver. A large
     forest is grown in parts: each adds its trees' votes to the stored rows and is let
-    go, so that the driver holds one part however many rows there are.
+    go, so that the driver holds one part however many rows there are. The first part
+    is as large as any trees allow; the next ones have more trees, if these are small.
     """
     trees, seed = forest.getNumTrees(), forest.getSeed()
     parts = forest_parts(trees, train_rows)
     if len(parts) == 1:
         return forest.fit(train).transform(rows).withColumn("score", second_class())
     voted = rows.withColumn("_votes", F.lit(0.0))
-    for i, n in enumerate(parts):
+    i = grown = nodes = 0
+    while grown < trees:
+        most = max(parts[0], small_trees(train_rows, grown, nodes) if grown else 0)
+        n = min(most, trees - grown)
         part = forest.copy({forest.numTrees: n, forest.seed: seed + i * SEED_STEP}).fit(train)
+        i, grown, nodes = i + 1, grown + n, nodes + part.totalNumNodes
         votes = (F.col("_votes") + n * second_class()).alias("_votes")
         voted = materialise(part.transform(voted).select(*rows.columns, votes), "forest-votes")
         del part
@@ -112,7 +133,9 @@ def train_classifiers(df: DataFrame, features: Sequence[str] | None = None, *,
 
     The stored split is used as it is. The prepared rows are written once; every
     model fits on a cache over that table, which is rebuilt from it when an
-    executor is lost. A forest of more than ``MOST_NODES`` is grown in parts.
+    executor is lost. The models are fitted side by side: boosting is many short
+    jobs, which leave most cores to the forest. A forest that may have more than
+    ``MOST_NODES`` is grown in parts.
     """
     names = list(features or feature_names(df))
     train_rows = df.where("split = 'train'").agg(
@@ -122,16 +145,23 @@ def train_classifiers(df: DataFrame, features: Sequence[str] | None = None, *,
     rows = materialise(prepare(df, usable), "training-rows")
     train = rows.where("split = 'train'").persist()
     held_out = rows.where("split in ('validation', 'test')")
-    scored = None
-    for name, estimator in classifiers(train_rows[0], seed, trees, rounds, depth).items():
+
+    def judge(name: str, estimator) -> DataFrame:
         if name == "random_forest":
             judged = forest_scores(estimator, train, held_out, train_rows[0])
         else:
             judged = estimator.fit(train).transform(held_out).withColumn("score", second_class())
-        one = judged.select(
+        return judged.select(
             F.lit(name).alias("model_name"), "split", "subject_id",
             F.col("label").cast("int").alias("label"), "score",
         )
-        scored = one if scored is None else scored.unionByName(one)
+
+    # Each task is wrapped by itself: the wrapper holds the local properties of its thread.
+    tasks = [
+        inheritable_thread_target(df.sparkSession)(partial(judge, name, estimator))
+        for name, estimator in classifiers(train_rows[0], seed, trees, rounds, depth).items()
+    ]
+    with ThreadPool(len(tasks)) as pool:
+        scored = pool.map(lambda task: task(), tasks)
     train.unpersist()
-    return scored
+    return reduce(DataFrame.unionByName, scored)

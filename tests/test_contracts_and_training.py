@@ -1,17 +1,22 @@
 from __future__ import annotations
 
 import os
+import threading
 
 import pytest
 from conftest import plan_of
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cohortloom import cli
 from cohortloom.catalog.reports import published_models
 from cohortloom.catalog.scans import write_raw
 from cohortloom.catalog.tables import Tables
+from cohortloom.operators import prep
 from cohortloom.operators.quality import QualityError, Suite
-from cohortloom.plans import contracts, jobs
+from cohortloom.plans import contracts, jobs, training
 from cohortloom.plans.training_job import RegressionError, metric_history, train_and_record
 from cohortloom.sources import lake
 
@@ -119,3 +124,78 @@ def test_jobs_from_the_command_line(spark, small, tmp_path, capsys, monkeypatch)
         cli.parser().parse_args(["gold"])
     given = cli.parser().parse_args(["gold", "--lake", home, "--no-balance", "--run-id", "r"])
     assert given.no_balance and given.min_coverage == 0.02
+
+
+def numbered_rows(spark):
+    rows = spark.range(120).select(
+        F.col("id").alias("subject_id"), F.when(F.col("id") % 3 == 0, "test").otherwise("train").alias("split"),
+        (F.col("id") % 7 > 3).cast("double").alias("label"), (F.col("id") % 7).cast("double").alias("a"),
+        (F.col("id") % 2).cast("double").alias("b"))
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows)
+    return rows.select("subject_id", "split", "label", "features")
+
+
+def test_small_trees_are_grown_in_few_parts_within_the_same_bound(spark, monkeypatch):
+    rows = numbered_rows(spark)
+    train, held_out = rows.where("split = 'train'"), rows.where("split = 'test'")
+    forest = RandomForestClassifier(numTrees=12, maxDepth=30, minInstancesPerNode=3, seed=7)
+    monkeypatch.setattr(training, "MOST_NODES", 110)
+    parts, store = [], training.materialise
+    monkeypatch.setattr(training, "materialise", lambda df, name: parts.append(name) or store(df, name))
+    assert training.forest_parts(12, 80) == [2] * 6
+    got = {r.subject_id: r.score for r in training.forest_scores(forest, train, held_out, 80).collect()}
+    assert len(parts) < 6
+
+    want, grown, nodes = dict.fromkeys(got, 0.0), 0, 0
+    for i in range(len(parts)):
+        n = min(12 - grown, max(2, training.small_trees(80, grown, nodes)) if grown else 2)
+        own = forest.copy({forest.numTrees: n, forest.seed: 7 + i * training.SEED_STEP}).fit(train)
+        assert own.totalNumNodes <= 110
+        grown, nodes = grown + n, nodes + own.totalNumNodes
+        for r in own.transform(held_out).select(
+                "subject_id", vector_to_array("probability")[1].alias("p")).collect():
+            want[r.subject_id] += n * r.p / 12
+    assert grown == 12 and len(got) == 40
+    assert all(abs(got[k] - want[k]) < 1e-12 for k in got)
+    # Many rows bound a part even where trees have hardly any nodes.
+    assert training.small_trees(training.MOST_DRAWS // 4, 10, 30) <= 4
+
+
+def test_models_are_fitted_side_by_side(spark, monkeypatch):
+    together, declared = threading.Barrier(3, timeout=60), training.classifiers
+
+    class Waiting:
+        """Fits only when all the others have begun."""
+
+        def __init__(self, estimator):
+            self.estimator = estimator
+
+        def __getattr__(self, name):
+            return getattr(self.estimator, name)
+
+        def fit(self, rows):
+            together.wait()
+            return self.estimator.fit(rows)
+
+    monkeypatch.setattr(training, "classifiers", lambda *a: {
+        k: Waiting(v) for k, v in declared(*a).items()})
+    df = spark.range(120).select(
+        F.col("id").alias("subject_id"), (F.col("id") % 2).cast("int").alias("label"),
+        F.element_at(F.array(*map(F.lit, ("train", "validation", "test"))),
+                     (F.col("id") % 3 + 1).cast("int")).alias("split"),
+        (F.col("id") % 11).cast("double").alias("a"), (F.col("id") % 5).cast("double").alias("b"))
+    found = training.train_classifiers(df, ["a", "b"], trees=3, rounds=2, depth=4)
+    counts = {(r.model_name, r.split): r["count"] for r in found.groupBy("model_name", "split").count().collect()}
+    assert counts == {(m, s): 40 for m in declared(1) for s in ("validation", "test")}
+
+
+def test_fitted_statistics_are_planned_once_however_many_columns_use_them(spark):
+    names = [f"x{i}" for i in range(6)]
+    df = spark.range(40).select("id", *[
+        F.when(F.col("id") % (i + 2) != 0, F.col("id") * (i + 1.0)).alias(n) for i, n in enumerate(names)])
+    fit_on = F.col("id") < 30
+    ready = prep.standardise(prep.impute_median(df, names, fit_on), names, fit_on)
+    assert ready.columns == df.columns
+    plan = ready._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("scalar-subquery#") < 10
+    assert ready.where("x0 is null or isnan(x0)").count() == 0
