@@ -65,12 +65,16 @@ def with_bin(df: DataFrame, value: Column | str, bounds: list[float], out: str =
 def with_bin_by_steps(df: DataFrame, value: Column | str, bounds: list[float], out: str = "_bin"
                       ) -> DataFrame:
     """As ``with_bin``, one projection per step: for plans that the optimizer cannot take
-    with the one expression."""
+    with the one expression.
+
+    A step names the step before twice. Rules that follow a join key down to the scan write
+    all steps out as one expression, which grows by that factor with each of them.
+    """
     number = as_column(value).cast("double")
     df = df.withColumn(out, F.lit(0))
     held = number_array(bounds)
     for step in (1 << i for i in reversed(range(len(bounds).bit_length()))):
         at = F.col(out)
-        df = df.withColumn(out, F.when(
-            F.get(held, at + (step - 1)) <= number, at + step).otherwise(at))
+        df = df.withColumn(out, at + F.when(
+            F.get(held, at + (step - 1)) <= number, F.lit(step)).otherwise(F.lit(0)))
     return df

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions.columns import hash_ordinal
 from cohortloom.operators import joins, ranking
-from cohortloom.operators.bounds import value_bounds, with_bin
+from cohortloom.operators.bounds import value_bounds, with_bin, with_bin_by_steps
 from cohortloom.operators.heavy import heavy_keys
 from cohortloom.operators.cohort import assign_split, stratified_split
 
@@ -194,3 +194,16 @@ def test_stratified_split_keeps_the_label_mix(spark):
               .collect()}
     assert counts == {(0, "test"): 180, (0, "validation"): 72, (0, "train"): 648,
                       (1, "test"): 20, (1, "validation"): 8, (1, "train"): 72}
+
+
+def test_bins_by_steps_are_those_of_one_expression_and_steps_name_the_last_twice(spark):
+    bounds = [-1.0, 0.0, 0.5, 2.0, 3.0, 7.0, 7.5]
+    df = spark.createDataFrame(
+        [(v,) for v in (None, -5.0, -1.0, 0.25, 0.5, 2.5, 7.0, 7.5, float("inf"), float("nan"))], "v double")
+    for some in ([], bounds[:1], bounds[:4], bounds):
+        both = with_bin_by_steps(with_bin(df, "v", some), "v", some, "_steps")
+        assert both.where("_bin <> _steps or _steps is null").count() == 0
+    plan = with_bin_by_steps(df, "v", bounds)._jdf.queryExecution().analyzed().toString()
+    steps = [line for line in plan.splitlines() if " AS _bin#" in line and "get(" in line]
+    # Written out as one expression, three mentions in each of ten steps are 59,049.
+    assert len(steps) == 3 and all(line.count("_bin#") <= 3 for line in steps)
